@@ -1,0 +1,29 @@
+"""Struct fields that order rows, for ``min_by``.
+
+Struct fields compare left to right with nulls first, so every column comes with a
+flag in front that sends its nulls to the end.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+_EPOCH = dt.datetime(1970, 1, 1)
+
+
+def ascending(col: Column) -> list[Column]:
+    """Smallest first, nulls last."""
+    return [col.isNull(), col]
+
+
+def latest_first(ts: Column) -> list[Column]:
+    """Latest zone-free timestamp first, nulls last; its distance to a fixed instant."""
+    return [ts.isNull(), F.lit(_EPOCH).cast("timestamp_ntz") - ts]
+
+
+def rank(*fields: list[Column]) -> Column:
+    """One ordering out of several."""
+    return F.struct(*[c.alias(f"r{i}") for i, c in enumerate(sum(fields, []))])

@@ -1,21 +1,25 @@
-"""Keep one row per key by a total order."""
+"""Keep one row per key by a total order.
+
+Both are plain aggregates: every task reduces its own rows first, so a key that
+holds much of the table moves one row per task. They also let the optimizer know
+that the key is unique, so a left join whose columns go unused disappears.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelyard.functions.ranking import ascending, rank
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of every key.
 
-    Spark keeps only the leading row of each key in every input task before it
-    shuffles, so a key that holds much of the table moves one row per task.
-    """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+    """The row of every key with the smallest ``order``."""
+    values = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*values), order).alias("best"))
+    return best.select(*keys, *[F.col("best")[c].alias(c) for c in values])
 
 
 def most_frequent(
@@ -27,11 +31,10 @@ def most_frequent(
     """Per key, the combination of ``values`` seen most often.
 
     Ties go to the combination with the smallest ``tiebreak`` aggregate. Rows are
-    counted per combination before anything is ranked, so the ranking only sees
-    distinct combinations.
+    counted per combination first, so the choice only sees distinct combinations.
     """
     counted = df.groupBy(*keys, *values).agg(
-        F.count(F.lit(1)).alias("_n"), tiebreak.alias("_tie")
+        F.count(F.lit(1)).alias("n"), tiebreak.alias("tie")
     )
-    best = first_per_key(counted, keys, [F.desc("_n"), F.asc_nulls_last("_tie")])
-    return best.select(*keys, *values)
+    order = rank([-F.col("n")], ascending(F.col("tie")))
+    return first_per_key(counted, keys, order).select(*keys, *values)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,16 +49,18 @@ class Models:
     """Lazy tables over a set of staging tables.
 
     ``models["fct_orders"]`` is a DataFrame; nothing runs until an action does.
-    ``calendar`` is a one-row range of days for ``dim_date``.
+    ``calendar`` gives a one-row range of days for ``dim_date``.
     """
 
-    def __init__(self, staging: Mapping[str, DataFrame], calendar: DataFrame | None = None):
+    def __init__(
+        self, staging: Mapping[str, DataFrame], calendar: Callable[[], DataFrame] | None = None
+    ):
         self._staging = staging
         self._calendar = calendar
 
     @classmethod
     def from_raw(
-        cls, raw: Mapping[str, DataFrame], calendar: DataFrame | None = None
+        cls, raw: Mapping[str, DataFrame], calendar: Callable[[], DataFrame] | None = None
     ) -> Models:
         return cls(stage(raw), calendar)
 
@@ -112,7 +114,7 @@ class Models:
     @cached_property
     def dim_date(self) -> DataFrame:
         return dimensions.dim_date(
-            fixed_range(self.spark) if self._calendar is None else self._calendar
+            self._calendar() if self._calendar else fixed_range(self.spark)
         )
 
     @cached_property

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelyard.functions.metrics import delay_days, ratio_or_null, severity
+from parcelyard.functions.ranking import ascending, rank
+from parcelyard.operators.pick import first_per_key
 
 _DATES = (
     "order_status",
@@ -102,16 +104,18 @@ def fct_orders(
     """Order fact with the address the person uses most (FCT2).
 
     The address goes onto the narrow customer table first; the wide order rows then
-    need a single join by ``customer_id``.
+    need a single join by ``customer_id``. That lookup holds each ``customer_id``
+    once, so an order can never turn into several rows.
     """
     people = customers.select("customer_id", "customer_unique_id").join(
         addresses.select("customer_unique_id", "customer_state", "customer_city"),
         "customer_unique_id",
         "left",
     )
+    lookup = first_per_key(people, ["customer_id"], rank(ascending(F.col("customer_unique_id"))))
     return (
         order_facts(orders, freight, reviews)
-        .join(people, "customer_id", "left")
+        .join(lookup, "customer_id", "left")
         .select(
             "order_id",
             "customer_id",

@@ -53,7 +53,9 @@ class Inputs:
 
     @cached_property
     def models(self) -> Models:
-        return Models(self.staged, observed_range(self.staged["stg_orders"], *ORDER_DATES))
+        return Models(
+            self.staged, lambda: observed_range(self.staged["stg_orders"], *ORDER_DATES)
+        )
 
     @cached_property
     def everything(self) -> WithRaw:
@@ -503,7 +505,9 @@ for _key, _sql in CONSTRAINTS.items():
 
 
 def _purchase_days_only(i: Inputs) -> DataFrame:
-    bought = observed_range(i.staged["stg_orders"], "order_purchase_timestamp")
+    def bought() -> DataFrame:
+        return observed_range(i.staged["stg_orders"], "order_purchase_timestamp")
+
     return checks.calendar_gaps(Models(i.staged, bought))
 
 
