@@ -241,14 +241,7 @@ def staged_tables(spark: SparkSession, directory: str) -> LazyTables:
 
 
 def _as_strings(df: DataFrame) -> DataFrame:
-    return df.select(
-        *[
-            F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
-            if kind.startswith("timestamp")
-            else F.col(name).cast("string").alias(name)
-            for name, kind in df.dtypes
-        ]
-    )
+    return df.select(*[_text(name).alias(name) for name in df.columns])
 
 
 def raw_tables(spark: SparkSession, directory: str) -> LazyTables:

@@ -19,6 +19,7 @@ from parcelyard.sources import demo
 from parcelyard.sources.calendar import observed_range
 from parcelyard.sources.raw import raw_counts, read_raw_table, write_raw_csv
 from parcelyard.sources.tables import register_views, scratch_path, write_orders
+from parcelyard.streaming.intake import load_new_files
 from queryset.duckdb_sql import CONSTRAINTS, rounded, with_tables
 
 ORDER_DATES = (
@@ -146,6 +147,25 @@ _add(
 )
 
 
+def _orders_loaded_twice(i: Inputs) -> DataFrame:
+    folder = i.scratch()
+    write_raw_csv({"orders": i.raw["orders"]}, f"{folder}/inbox")
+    for _ in range(2):
+        loaded = load_new_files(
+            i.spark, f"{folder}/inbox/orders", "orders", f"{folder}/orders", f"{folder}/progress"
+        )
+    return loaded
+
+
+_add(
+    "src5_repeated_load",
+    _orders_loaded_twice,
+    "SELECT order_id, customer_id, order_status, "
+    + ", ".join(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in ORDER_DATES)
+    + " FROM src_orders",
+)
+
+
 def _severity_through_view(i: Inputs) -> DataFrame:
     register_views(i.models, ("fct_orders",))
     return i.spark.sql(
