@@ -7,13 +7,11 @@ tables: every order, item and review row is derived from its own source row.
 
 from __future__ import annotations
 
-import datetime as dt
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelyard.functions.casts import clean_text
 from parcelyard.lazy import LazyTables
 from parcelyard.plans.staging import latest_reviews, locate_prefixes, translate_products
 from parcelyard.schema import RAW_COLUMNS
@@ -43,164 +41,140 @@ def _read(spark: SparkSession, directory: str, table: str) -> DataFrame:
     return spark.read.schema(_COLUMNS[table]).parquet(f"{directory}/{table}.parquet")
 
 
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def _whole_second(name: str) -> Column:
-    ts = F.col(name)
-    clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    return _plus(F.to_date(ts).cast("timestamp_ntz"), seconds=clock)
-
-
-def _cents(amount: Column) -> Column:
-    # Plain float steps, so that every engine rounds a half cent the same way.
-    return F.floor(amount * 100 + 0.5) / 100
-
-
-def _plus(start: Column, **amounts: Column | int) -> Column:
-    """A timestamp moved by whole units, such as ``days=2``."""
-    for unit, amount in amounts.items():
-        start = start + F.lit(dt.timedelta(**{unit: 1})) * amount
-    return start
-
-
 def _orders(spark: SparkSession, directory: str) -> DataFrame:
-    k, day = F.col("o_orderkey"), F.col("o_orderdate")
-    purchase = _plus(day, seconds=k % 86400)
-    status = (
-        F.when(k % 40 == 0, "canceled")
-        .when(k % 40 == 1, "unavailable")
-        .when(F.col("o_orderstatus") == "F", "delivered")
-        .when(F.col("o_orderstatus") == "O", "shipped")
-        .otherwise("processing")
-    )
-    delivered = (
-        F.when(k % 50 == 7, F.lit(None))
-        .when(k % 997 == 3, _plus(day, days=-2))
-        .otherwise(
-            _plus(day, days=(k * 7) % 31, hours=k % 24)
+    return (
+        _read(spark, directory, "orders")
+        .withColumnsRenamed({"o_orderkey": "k", "o_orderdate": "day"})
+        .selectExpr(
+            "string(k) as order_id",
+            "string(o_custkey) as customer_id",
+            """case when k % 40 = 0 then 'canceled' when k % 40 = 1 then 'unavailable'
+                    when o_orderstatus = 'F' then 'delivered'
+                    when o_orderstatus = 'O' then 'shipped'
+                    else 'processing' end as order_status""",
+            "day + interval '1' second * (k % 86400) as order_purchase_timestamp",
+            "day + interval '1' second * (k % 86400 + 3600) as order_approved_at",
+            "day + interval '1' day as order_delivered_carrier_date",
+            """case when k % 50 = 7 then null
+                    when k % 997 = 3 then day - interval '2' day
+                    else day + interval '1' hour * (k * 7 % 31 * 24 + k % 24)
+               end as order_delivered_customer_date""",
+            "day + interval '20' day as order_estimated_delivery_date",
         )
     )
-    return _read(spark, directory, "orders").select(
-        _text("o_orderkey").alias("order_id"),
-        _text("o_custkey").alias("customer_id"),
-        status.alias("order_status"),
-        purchase.alias("order_purchase_timestamp"),
-        _plus(purchase, hours=1).alias("order_approved_at"),
-        _plus(day, days=1).alias("order_delivered_carrier_date"),
-        delivered.alias("order_delivered_customer_date"),
-        _plus(day, days=20).alias("order_estimated_delivery_date"),
-    )
 
 
 def _order_items(spark: SparkSession, directory: str) -> DataFrame:
-    price = _cents(F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    freight = _cents(F.col("l_extendedprice") * F.col("l_tax"))
-    return _read(spark, directory, "lineitem").select(
-        _text("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").cast("short").alias("order_item_id"),
-        _text("l_partkey").alias("product_id"),
-        _text("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.when(F.col("l_orderkey") % 500 == 9, 0.0).otherwise(price).alias("price"),
-        freight.alias("freight_value"),
+    # Cents are rounded in plain float steps: every engine then treats half a cent alike.
+    return _read(spark, directory, "lineitem").selectExpr(
+        "string(l_orderkey) as order_id",
+        "smallint(l_linenumber) as order_item_id",
+        "string(l_partkey) as product_id",
+        "string(l_suppkey) as seller_id",
+        "l_shipdate as shipping_limit_date",
+        """case when l_orderkey % 500 = 9 then 0D
+                else floor(l_extendedprice * (1 - l_discount) * 100 + 0.5D) / 100
+           end as price""",
+        "floor(l_extendedprice * l_tax * 100 + 0.5D) / 100 as freight_value",
     )
 
 
 def _order_payments(spark: SparkSession, directory: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    rows = F.sequence(F.lit(1), F.when(k % 5 == 0, 2).otherwise(1))
-    first = F.col("n") == 1
     return (
         _read(spark, directory, "orders")
-        .select("*", F.explode(rows).alias("n"))
-        .select(
-            _text("o_orderkey").alias("order_id"),
-            F.col("n").cast("short").alias("payment_sequential"),
-            F.when(first, clean_text(F.col("o_orderpriority")))
-            .otherwise("voucher")
-            .alias("payment_type"),
-            F.when(first, k % 12).otherwise(1).cast("short").alias("payment_installments"),
-            F.when(first, F.col("o_totalprice")).otherwise(0.0).alias("payment_value"),
+        .withColumn("n", F.expr("explode(sequence(1, if(o_orderkey % 5 = 0, 2, 1)))"))
+        .selectExpr(
+            "string(o_orderkey) as order_id",
+            "smallint(n) as payment_sequential",
+            "if(n = 1, lower(trim(o_orderpriority)), 'voucher') as payment_type",
+            "smallint(if(n = 1, o_orderkey % 12, 1)) as payment_installments",
+            "if(n = 1, o_totalprice, 0D) as payment_value",
         )
     )
 
 
 def _order_reviews(spark: SparkSession, directory: str) -> DataFrame:
-    k = F.col("event_id")
     reviewed = _read(spark, directory, "orders").agg(F.expr("count(*) * 3 div 5")).scalar()
-    created = F.when(k % 2 == 0, F.trunc("ts", "month")).otherwise(F.trunc("ts", "week"))
     return (
         _read(spark, directory, "events")
-        .withColumn("created", created.cast("timestamp_ntz"))
-        .select(
-            F.pmod(k * 13, reviewed).cast("string").alias("order_id"),
-            _text("event_id").alias("review_id"),
-            (1 + k % 5).cast("short").alias("review_score"),
-            clean_text(F.col("event_type")).alias("review_comment_title"),
-            clean_text(F.col("props")).alias("review_comment_message"),
-            F.col("created").alias("review_creation_date"),
-            F.when(k % 4 == 0, F.col("created"))
-            .otherwise(_whole_second("ts"))
-            .alias("review_answer_timestamp"),
+        .withColumns(
+            {
+                "created": F.expr(
+                    "cast(trunc(ts, if(event_id % 2 = 0, 'month', 'week')) as timestamp_ntz)"
+                ),
+                "key": F.pmod(F.col("event_id") * 13, reviewed),
+            }
+        )
+        .selectExpr(
+            "string(key) as order_id",
+            "string(event_id) as review_id",
+            "smallint(1 + event_id % 5) as review_score",
+            "lower(trim(event_type)) as review_comment_title",
+            "lower(trim(props)) as review_comment_message",
+            "created as review_creation_date",
+            """if(event_id % 4 = 0, created, cast(date(ts) as timestamp_ntz)
+                  + interval '1' second * (hour(ts) * 3600 + minute(ts) * 60 + second(ts)))
+               as review_answer_timestamp""",
         )
     )
 
 
 def _with_place(spark: SparkSession, directory: str, table: str, key: str) -> DataFrame:
-    nation = _read(spark, directory, "nation")
-    region = _read(spark, directory, "region")
     return (
         _read(spark, directory, table)
-        .join(nation, F.col(key) == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .withColumn("prefix", F.lpad(F.col(key).cast("string"), 5, "0"))
+        .withColumnRenamed(key, "n_nationkey")
+        .join(_read(spark, directory, "nation"), "n_nationkey")
+        .withColumnRenamed("n_regionkey", "r_regionkey")
+        .join(_read(spark, directory, "region"), "r_regionkey")
+        .withColumn("prefix", F.expr("lpad(string(n_nationkey), 5, '0')"))
     )
 
 
 def _customers(spark: SparkSession, directory: str) -> DataFrame:
     people = _read(spark, directory, "customer").agg(F.expr("count(*) * 4 div 5")).scalar()
-    return _with_place(spark, directory, "customer", "c_nationkey").select(
-        _text("c_custkey").alias("customer_id"),
-        F.pmod(F.col("c_custkey"), people).cast("string").alias("customer_unique_id"),
-        F.col("prefix").alias("customer_zip_code_prefix"),
-        clean_text(F.col("n_name")).alias("customer_city"),
-        clean_text(F.col("r_name")).alias("customer_state"),
+    return (
+        _with_place(spark, directory, "customer", "c_nationkey")
+        .withColumn("person", F.pmod("c_custkey", people))
+        .selectExpr(
+            "string(c_custkey) as customer_id",
+            "string(person) as customer_unique_id",
+            "prefix as customer_zip_code_prefix",
+            "lower(trim(n_name)) as customer_city",
+            "lower(trim(r_name)) as customer_state",
+        )
     )
 
 
 def _sellers(spark: SparkSession, directory: str) -> DataFrame:
-    return _with_place(spark, directory, "supplier", "s_nationkey").select(
-        _text("s_suppkey").alias("seller_id"),
-        F.col("prefix").alias("seller_zip_code_prefix"),
-        clean_text(F.col("n_name")).alias("seller_city"),
-        clean_text(F.col("r_name")).alias("seller_state"),
+    return _with_place(spark, directory, "supplier", "s_nationkey").selectExpr(
+        "string(s_suppkey) as seller_id",
+        "prefix as seller_zip_code_prefix",
+        "lower(trim(n_name)) as seller_city",
+        "lower(trim(r_name)) as seller_state",
     )
 
 
 def _geolocation(spark: SparkSession, directory: str) -> DataFrame:
-    return _with_place(spark, directory, "customer", "c_nationkey").select(
-        F.col("prefix").alias("zip_code_prefix"),
-        (F.col("c_acctbal") / 1000).alias("lat"),
-        (-F.col("c_acctbal") / 2000).alias("lng"),
-        clean_text(F.col("c_mktsegment")).alias("city"),
-        clean_text(F.col("r_name")).alias("state"),
+    return _with_place(spark, directory, "customer", "c_nationkey").selectExpr(
+        "prefix as zip_code_prefix",
+        "c_acctbal / 1000 as lat",
+        "-c_acctbal / 2000 as lng",
+        "lower(trim(c_mktsegment)) as city",
+        "lower(trim(r_name)) as state",
     )
 
 
 def _products(spark: SparkSession, directory: str) -> DataFrame:
-    size = F.col("p_size").cast("double")
-    return _read(spark, directory, "part").select(
-        _text("p_partkey").alias("product_id"),
-        F.col("p_type").alias("product_category_name"),
-        F.length("p_name").cast("long").alias("product_name_lenght"),
-        F.length("p_brand").cast("long").alias("product_description_lenght"),
-        (F.col("p_size") % 6).cast("long").alias("product_photos_qty"),
-        F.col("p_retailprice").alias("product_weight_g"),
-        size.alias("product_length_cm"),
-        (size / 2).alias("product_height_cm"),
-        F.when(F.col("p_size") % 5 != 0, size).alias("product_width_cm"),
+    return _read(spark, directory, "part").selectExpr(
+        "string(p_partkey) as product_id",
+        "p_type as product_category_name",
+        "bigint(length(p_name)) as product_name_lenght",
+        "bigint(length(p_brand)) as product_description_lenght",
+        "bigint(p_size % 6) as product_photos_qty",
+        "p_retailprice as product_weight_g",
+        "double(p_size) as product_length_cm",
+        "p_size / 2D as product_height_cm",
+        "if(p_size % 5 != 0, double(p_size), null) as product_width_cm",
     )
 
 
@@ -210,9 +184,9 @@ def _translation(spark: SparkSession, directory: str) -> DataFrame:
     return (
         types.filter(F.col("p_type") > first)
         .distinct()
-        .select(
-            F.col("p_type").alias("product_category_name"),
-            F.concat(F.lit("en_"), F.lower("p_type")).alias("product_category_name_english"),
+        .selectExpr(
+            "p_type as product_category_name",
+            "'en_' || lower(p_type) as product_category_name_english",
         )
     )
 
@@ -241,7 +215,7 @@ def staged_tables(spark: SparkSession, directory: str) -> LazyTables:
 
 
 def _as_strings(df: DataFrame) -> DataFrame:
-    return df.select(*[_text(name).alias(name) for name in df.columns])
+    return df.selectExpr(*[f"string({name}) as {name}" for name in df.columns])
 
 
 def raw_tables(spark: SparkSession, directory: str) -> LazyTables:
