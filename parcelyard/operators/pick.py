@@ -1,25 +1,22 @@
-"""Keep one row per key by a total order.
-
-Both are plain aggregates: every task reduces its own rows first, so a key that
-holds much of the table moves one row per task. They also let the optimizer know
-that the key is unique, so a left join whose columns go unused disappears.
-"""
+"""Keep one row per key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelyard.functions.ranking import ascending, rank
 
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of every key.
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
-    """The row of every key with the smallest ``order``."""
-    values = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*values), order).alias("best"))
-    return best.select(*keys, *[F.col("best")[c].alias(c) for c in values])
+    Every task keeps only the leading row of each of its keys before the shuffle, so
+    a key that holds much of the table moves one row per task. Columns that nobody
+    reads afterwards are neither sorted nor shuffled.
+    """
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
 def most_frequent(
@@ -34,7 +31,20 @@ def most_frequent(
     counted per combination first, so the choice only sees distinct combinations.
     """
     counted = df.groupBy(*keys, *values).agg(
-        F.count(F.lit(1)).alias("n"), tiebreak.alias("tie")
+        F.count(F.lit(1)).alias("_n"), tiebreak.alias("_tie")
     )
-    order = rank([-F.col("n")], ascending(F.col("tie")))
-    return first_per_key(counted, keys, order).select(*keys, *values)
+    best = first_per_key(counted, keys, [F.desc("_n"), F.asc_nulls_last("_tie")])
+    return best.select(*keys, *values)
+
+
+def lookup(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with each ``key`` once, for use as the right side of a left join.
+
+    The aggregate needs the partitioning the join needs anyway. It keeps the join
+    from ever multiplying rows, and it tells the optimizer so: where a query reads
+    none of the looked-up columns, the join and all below it leave the plan.
+    """
+    values = [c for c in df.columns if c != key]
+    if len(values) == 1:
+        return df.groupBy(key).agg(F.min(values[0]).alias(values[0]))
+    return df.groupBy(key).agg(F.min(F.struct(*values)).alias("v")).select(key, "v.*")

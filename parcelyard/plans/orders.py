@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelyard.functions.metrics import delay_days, ratio_or_null, severity
-from parcelyard.functions.ranking import ascending, rank
-from parcelyard.operators.pick import first_per_key
+from parcelyard.operators.pick import lookup
 
 _DATES = (
     "order_status",
@@ -90,7 +89,7 @@ def order_facts(orders: DataFrame, freight: DataFrame, reviews: DataFrame) -> Da
             {"delay_days": delay_days(*dates), "delivery_severity": severity(*dates)}
         )
         .join(freight, "order_id", "left")
-        .join(reviews.select("order_id", "review_score"), "order_id", "left")
+        .join(lookup(reviews.select("order_id", "review_score"), "order_id"), "order_id", "left")
     )
 
 
@@ -112,10 +111,9 @@ def fct_orders(
         "customer_unique_id",
         "left",
     )
-    lookup = first_per_key(people, ["customer_id"], rank(ascending(F.col("customer_unique_id"))))
     return (
         order_facts(orders, freight, reviews)
-        .join(lookup, "customer_id", "left")
+        .join(lookup(people, "customer_id"), "customer_id", "left")
         .select(
             "order_id",
             "customer_id",

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelyard.functions.casts import clean_text, to_double, to_second, to_uint8, to_uint32
-from parcelyard.functions.ranking import ascending, latest_first, rank
 from parcelyard.lazy import LazyTables
 from parcelyard.operators.pick import first_per_key
 
@@ -92,11 +91,11 @@ def latest_reviews(reviews: DataFrame) -> DataFrame:
     return first_per_key(
         reviews,
         ["order_id"],
-        rank(
-            latest_first(F.col("review_creation_date")),
-            latest_first(F.col("review_answer_timestamp")),
-            ascending(F.col("review_id")),
-        ),
+        [
+            F.desc_nulls_last("review_creation_date"),
+            F.desc_nulls_last("review_answer_timestamp"),
+            F.asc_nulls_last("review_id"),
+        ],
     )
 
 
@@ -127,13 +126,16 @@ def locate_prefixes(points: DataFrame) -> DataFrame:
         F.sum("lng").alias("lng_sum"),
         F.count("lng").alias("lng_n"),
     )
-    order = rank([-F.col("n")], ascending(F.col("city")), ascending(F.col("state")))
+    # Struct fields compare left to right with nulls first, hence the null flags.
+    rank = F.struct(
+        -F.col("n"), F.isnull("city"), F.col("city"), F.isnull("state"), F.col("state")
+    )
     return (
         places.groupBy("zip_code_prefix")
         .agg(
             (F.sum("lat_sum") / F.nullif(F.sum("lat_n"), F.lit(0))).alias("lat"),
             (F.sum("lng_sum") / F.nullif(F.sum("lng_n"), F.lit(0))).alias("lng"),
-            F.min_by(F.struct("city", "state"), order).alias("place"),
+            F.min_by(F.struct("city", "state"), rank).alias("place"),
         )
         .select("zip_code_prefix", "lat", "lng", "place.city", "place.state")
     )
