@@ -37,14 +37,11 @@ def most_frequent(
     return best.select(*keys, *values)
 
 
-def lookup(df: DataFrame, key: str) -> DataFrame:
-    """``df`` with each ``key`` once, for use as the right side of a left join.
+def lookup(df: DataFrame, key: str, value: str) -> DataFrame:
+    """One ``value`` per ``key``, for use as the right side of a left join.
 
     The aggregate needs the partitioning the join needs anyway. It keeps the join
-    from ever multiplying rows, and it tells the optimizer so: where a query reads
-    none of the looked-up columns, the join and all below it leave the plan.
+    from ever multiplying rows, and it tells the optimizer so: where a query does
+    not read the value, the join and all below it leave the plan.
     """
-    values = [c for c in df.columns if c != key]
-    if len(values) == 1:
-        return df.groupBy(key).agg(F.min(values[0]).alias(values[0]))
-    return df.groupBy(key).agg(F.min(F.struct(*values)).alias("v")).select(key, "v.*")
+    return df.groupBy(key).agg(F.min(value).alias(value))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelyard.functions.metrics import delay_days, ratio_or_null, severity
 from parcelyard.operators.pick import lookup
+from parcelyard.operators.spread import spread_left_join
 
 _DATES = (
     "order_status",
@@ -89,7 +90,7 @@ def order_facts(orders: DataFrame, freight: DataFrame, reviews: DataFrame) -> Da
             {"delay_days": delay_days(*dates), "delivery_severity": severity(*dates)}
         )
         .join(freight, "order_id", "left")
-        .join(lookup(reviews.select("order_id", "review_score"), "order_id"), "order_id", "left")
+        .join(lookup(reviews, "order_id", "review_score"), "order_id", "left")
     )
 
 
@@ -103,17 +104,18 @@ def fct_orders(
     """Order fact with the address the person uses most (FCT2).
 
     The address goes onto the narrow customer table first; the wide order rows then
-    need a single join by ``customer_id``. That lookup holds each ``customer_id``
-    once, so an order can never turn into several rows.
+    need a single join by ``customer_id``. Both sides of that join come straight from
+    a shuffle, so adaptive execution can split a customer with very many orders.
     """
-    people = customers.select("customer_id", "customer_unique_id").join(
+    people = spread_left_join(
+        customers.select("customer_id", "customer_unique_id"),
         addresses.select("customer_unique_id", "customer_state", "customer_city"),
         "customer_unique_id",
-        "left",
+        spread_by="customer_id",
     )
     return (
         order_facts(orders, freight, reviews)
-        .join(lookup(people, "customer_id"), "customer_id", "left")
+        .join(people, "customer_id", "left")
         .select(
             "order_id",
             "customer_id",

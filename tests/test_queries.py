@@ -45,5 +45,7 @@ def test_unused_lookups_leave_the_plan(models):
     from parcelyard.plans import reports
 
     text = plan(reports.severity_by_month(models.fct_orders), "simple")
-    assert "Join" not in text
     assert "o_orderdate" in text and "o_totalprice" not in text
+    assert "l_orderkey" not in text and "event_id" not in text
+    text = plan(models.fct_orders, "simple")
+    assert "event_id" in text and "props" not in text
