@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,15 +17,15 @@ def exact_quantile(
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
     margin = 4.0 / accuracy
+    bracket = [max(q - margin, 0.0), min(q + margin, 1.0)]
+    # One subquery for all three figures, so that the table is read for them once.
     ends = values.agg(
-        F.percentile_approx("v", [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy).alias("b"),
-        F.greatest(F.ceil(F.count("v") * F.lit(q)), F.lit(1)).alias("rank"),
-    )
-
-    def bound(expr: Column) -> Column:
-        return ends.select(expr).scalar()
-
-    low, high, rank = bound(F.col("b")[0]), bound(F.col("b")[1]), bound(F.col("rank"))
+        F.struct(
+            F.percentile_approx("v", bracket, accuracy).alias("values"),
+            F.greatest(F.ceil(F.count("v") * F.lit(q)), F.lit(1)).alias("rank"),
+        )
+    ).scalar()
+    low, high, rank = ends["values"][0], ends["values"][1], ends["rank"]
     # Everything below the bracket collapses onto one row that sorts first.
     position = F.when(F.col("v") >= low, F.col("v"))
     counted = (
