@@ -20,7 +20,7 @@ from parcelyard.sources.calendar import observed_range
 from parcelyard.sources.raw import raw_counts, read_raw_table, write_raw_csv
 from parcelyard.sources.tables import register_views, scratch_path, write_orders
 from parcelyard.streaming.intake import load_new_files
-from queryset.duckdb_sql import CONSTRAINTS, rounded, with_tables
+from queryset.duckdb_sql import CONSTRAINTS, nudge, rounded, with_tables
 
 ORDER_DATES = (
     "order_purchase_timestamp",
@@ -78,7 +78,9 @@ class Query:
 
     def run(self, spark: SparkSession, directory: str) -> DataFrame:
         df = self.build(Inputs(spark, directory))
-        return df.withColumns({c: F.round(c, n) for c, n in self.digits.items()})
+        return df.withColumns(
+            {c: F.round(F.col(c) + nudge(n), n) for c, n in self.digits.items()}
+        )
 
     def oracle(self) -> str:
         return with_tables(rounded(self.sql, self.digits))
@@ -99,7 +101,7 @@ _SCORE = _digits(
     "final_score delivery_coverage"
 )
 _COMPONENTS = {c: n for c, n in _SCORE.items() if c != "delivery_coverage"}
-_PLACE = {"lat": 10, "lng": 10}  # means of five-digit numbers often end in a tie at six
+_PLACE = _digits(rates="lat lng")
 
 QUERIES: dict[str, Query] = {}
 
