@@ -6,12 +6,13 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_points
+from queryset.catalog import QUERIES
 from tests.helpers import plan
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 from compare import duck, duck_rows, spark_rows  # noqa: E402
 
-NAMES = list(entry_points.queries())
+NAMES = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,8 @@ def con(small_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(entry_points.queries())
+    assert set(NAMES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
