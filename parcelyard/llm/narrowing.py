@@ -1,4 +1,4 @@
-"""Left semi join on a 64-bit key that drops most other rows before the shuffle."""
+"""Semi join on a 64-bit key that drops most other rows before the shuffle."""
 
 from __future__ import annotations
 
@@ -13,8 +13,9 @@ def narrowed(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows of ``df`` whose ``key`` is in ``ids``.
 
     A bitmap of fixed size over the keys, broadcast as rows of 64 bits, filters ``df``
-    where it is read; the semi join after it is exact. With very many keys the bitmap
-    fills up and filters less, and the semi join does the work.
+    where it is read; the join after it is exact. With very many keys the bitmap fills
+    up and filters less, and the join does the work. The second join is an inner one, as
+    the optimizer would move a semi join below the first.
     """
     bits = 64 * BITMAP_WORDS
     word = F.expr(f"CAST(pmod({key}, {bits}) DIV 64 AS INT)")
@@ -22,4 +23,4 @@ def narrowed(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     bitmap = ids.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
     likely = df.withColumn("_word", word).join(F.broadcast(bitmap), "_word")
     likely = likely.filter(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits")
-    return likely.join(ids.select(key), key, "left_semi")
+    return likely.join(ids.select(key).distinct(), key)

@@ -39,29 +39,40 @@ def _words(text: Column) -> Column:
 
 
 def _window_hashes(words: Column) -> Column:
-    """Hash and start of every three-word window, ordered by hash."""
-    starts = F.when(F.size(words) > 2, F.sequence(F.lit(0), F.size(words) - 3)).otherwise(
-        F.array().cast("array<int>")
+    """Hash and start of every three-word window, ordered by hash.
+
+    Neighbours are zipped rather than looked up, here and below: a lambda that refers
+    to another column would compute that column anew for every element wherever the
+    optimizer merges the two.
+    """
+    n = F.size(words)
+    triples = F.arrays_zip(
+        words.alias("a"),
+        F.slice(words, F.lit(2), n).alias("b"),
+        F.slice(words, F.lit(3), n).alias("c"),
     )
+    whole = F.slice(triples, F.lit(1), F.greatest(n - 2, F.lit(0)))
     return F.sort_array(
         F.transform(
-            starts,
-            lambda i: F.struct(
-                F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"),
-                i.alias("p"),
-            ),
+            whole, lambda x, i: F.struct(F.xxhash64(x["a"], x["b"], x["c"]).alias("h"), i.alias("p"))
         )
     )
 
 
 def _repeated_starts(windows: Column) -> Column:
     """Starts of the windows whose hash a neighbour in hash order shares."""
+    hashes = F.transform(windows, lambda x: x["h"])
+    zipped = F.arrays_zip(
+        windows.alias("this"),
+        F.concat(F.array(F.lit(None).cast("long")), hashes).alias("last"),
+        F.slice(hashes, F.lit(2), F.size(hashes)).alias("next"),
+    )
 
-    def shared(x: Column, i: Column) -> Column:
-        same = lambda k: F.coalesce(F.get(windows, k)["h"] == x["h"], F.lit(False))
-        return same(i - 1) | same(i + 1)
+    def shared(x: Column) -> Column:
+        same = (x["this"]["h"] == x["last"]) | (x["this"]["h"] == x["next"])
+        return F.coalesce(same, F.lit(False)) & x["this"].isNotNull()
 
-    return F.sort_array(F.transform(F.filter(windows, shared), lambda x: x["p"]))
+    return F.sort_array(F.transform(F.filter(zipped, shared), lambda x: x["this"]["p"]))
 
 
 def _covered(starts: Column) -> Column:
@@ -289,4 +300,7 @@ def judged(df: DataFrame, rules: list[Rule]) -> DataFrame:
 def accepted(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """The rows of ``df``, all columns untouched, that ``judged`` keeps."""
     row = F.struct(*df.columns).alias("_row")
-    return judged(df.select(row, "text"), rules).filter("kept").select("_row.*")
+    found = judged(df.select(row, "text"), rules)
+    # the partition number is there so that the optimizer leaves the filter above the
+    # statistics; below them, it would compute each one anew for every mention
+    return found.withColumn("_part", F.spark_partition_id()).filter("kept AND _part >= 0").select("_row.*")

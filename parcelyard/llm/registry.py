@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelyard.llm import line_dedup, quality_list
+from parcelyard.llm import line_dedup, mixing, ngram_join, packing, quality_list
 from parcelyard.llm.storage import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +35,32 @@ def fuzzy_lines(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def ngram_links(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    return ngram_join.similar_documents(docs).select(
+        F.col("doc").alias("doc_id"), "class_id", "n_links", "n_copies"
+    )
+
+
+def domain_rates(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    mixed = mixing.mix(docs, table(spark, directory, "labels"))
+    return mixed.select(
+        F.col("doc").alias("doc_id"), "n_tokens", "posterior", "rate", "n_copies"
+    )
+
+
+def packed_pieces(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    pieces = packing.cut_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    light = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place_pieces(light)
+
+
 QUERIES: dict[str, Query] = {
+    "op2_ngram_links": ngram_links,
+    "op4_domain_rates": domain_rates,
+    "op7_packed_pieces": packed_pieces,
     "op8_fuzzy_lines": fuzzy_lines,
     "op9_quality_rules": quality_rules,
 }
