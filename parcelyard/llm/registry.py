@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelyard.llm import line_dedup, mixing, ngram_join, packing, quality_list
+from parcelyard.llm import (
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    quality_list,
+    secrets_scan,
+    topk,
+)
 from parcelyard.llm.storage import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +26,25 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def secret_spans(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    found = secrets_scan.scan_secrets(docs)
+    base = F.filter("findings", lambda x: x["path"] == "")
+    count = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secrets_scan.KINDS],
+        F.sha2(secrets_scan.joined_spans(base), 256).alias("base_sha256"),
+        secrets_scan.joined_spans(F.col("findings")).alias("spans"),
+        F.size("findings").alias("n_spans"),
+    )
+
+
+def top_vectors(spark: SparkSession, directory: str) -> DataFrame:
+    vectors = table(spark, directory, "embeddings").select("vec_id", "embedding")
+    return topk.top_products(vectors, F.col("vec_id") % 50 == 0)
+
+
 def quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents")
     rules = quality_list.learn(
@@ -58,7 +85,9 @@ def packed_pieces(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_spans": secret_spans,
     "op2_ngram_links": ngram_links,
+    "op3_top_vectors": top_vectors,
     "op4_domain_rates": domain_rates,
     "op7_packed_pieces": packed_pieces,
     "op8_fuzzy_lines": fuzzy_lines,
@@ -66,4 +95,21 @@ QUERIES: dict[str, Query] = {
 }
 
 #: DuckDB SQL, where SQL can state the method.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_top_vectors": """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+    SELECT query_id, vec_id, score, CAST(row_number() OVER (
+        PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+}
