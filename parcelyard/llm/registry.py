@@ -15,6 +15,7 @@ from parcelyard.llm import (
     packing,
     quality_list,
     secrets_scan,
+    suffix_dedup,
     topk,
 )
 from parcelyard.llm.storage import text_or_empty
@@ -77,6 +78,23 @@ def domain_rates(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def repeated_bytes(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select(
+        "doc_id", "text", F.octet_length(text_or_empty()).cast("long").alias("n_bytes")
+    )
+    cut = suffix_dedup.cut_repeats(docs)
+    gone = F.aggregate(
+        "removed", F.lit(0).cast("long"), lambda a, x: a + (x["end"] - x["start"]).cast("long")
+    )
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        gone.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def packed_pieces(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
     pieces = packing.cut_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -89,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op2_ngram_links": ngram_links,
     "op3_top_vectors": top_vectors,
     "op4_domain_rates": domain_rates,
+    "op6_repeated_bytes": repeated_bytes,
     "op7_packed_pieces": packed_pieces,
     "op8_fuzzy_lines": fuzzy_lines,
     "op9_quality_rules": quality_rules,
