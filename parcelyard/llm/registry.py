@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelyard.llm import (
+    licences,
     line_dedup,
     mixing,
     ngram_join,
@@ -102,6 +103,18 @@ def packed_pieces(spark: SparkSession, directory: str) -> DataFrame:
     return packing.place_pieces(light)
 
 
+def licence_families(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    model = licences.train(licences.sample_paragraphs(docs))
+    found = licences.scan_licences(docs, model)
+    return found.select(
+        "doc_id",
+        F.size("licences").alias("n_licences"),
+        F.array_join(F.array_sort(F.array_distinct("licences.family")), ",").alias("families"),
+        F.array_join("licences.paragraph", ",").alias("paragraphs"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_spans": secret_spans,
     "op2_ngram_links": ngram_links,
@@ -111,6 +124,7 @@ QUERIES: dict[str, Query] = {
     "op7_packed_pieces": packed_pieces,
     "op8_fuzzy_lines": fuzzy_lines,
     "op9_quality_rules": quality_rules,
+    "op10_licence_families": licence_families,
 }
 
 #: DuckDB SQL, where SQL can state the method.
