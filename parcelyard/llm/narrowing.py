@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 BITMAP_WORDS = 2**17
 
 
+def _marked(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``df`` with ``_hit``: whether the bitmap over ``ids`` has the bit of the row's key."""
+    bits = 64 * BITMAP_WORDS
+    word = F.expr(f"CAST(pmod({key}, {bits}) DIV 64 AS INT)")
+    bit = F.expr(f"shiftleft(1L, CAST(pmod({key}, {bits}) % 64 AS INT))")
+    bitmap = ids.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    met = df.withColumn("_word", word).join(F.broadcast(bitmap), "_word", "left")
+    hit = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))
+    return met.withColumn("_hit", hit).drop("_word", "_bits")
+
+
 def narrowed(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows of ``df`` whose ``key`` is in ``ids``.
 
@@ -17,10 +28,14 @@ def narrowed(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     up and filters less, and the join does the work. The second join is an inner one, as
     the optimizer would move a semi join below the first.
     """
-    bits = 64 * BITMAP_WORDS
-    word = F.expr(f"CAST(pmod({key}, {bits}) DIV 64 AS INT)")
-    bit = F.expr(f"shiftleft(1L, CAST(pmod({key}, {bits}) % 64 AS INT))")
-    bitmap = ids.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
-    likely = df.withColumn("_word", word).join(F.broadcast(bitmap), "_word")
-    likely = likely.filter(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits")
+    likely = _marked(df, ids, key).filter("_hit").drop("_hit")
     return likely.join(ids.select(key).distinct(), key)
+
+
+def parted(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose ``key`` may be in ``ids``, and those whose key is not.
+
+    The second part needs no join with whatever ``ids`` names, so it is not shuffled.
+    """
+    marked = _marked(df, ids, key)
+    return marked.filter("_hit").drop("_hit"), marked.filter("NOT _hit").drop("_hit")
