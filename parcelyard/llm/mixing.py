@@ -56,7 +56,7 @@ def fit_classifier(
     data, offsets = ta.text_bytes(pa.array(texts, pa.large_string()))
     parts = []
     for a, b in ta.pieces(offsets):
-        text, slot, weight = _slot_counts(ta.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lower=True))
+        text, slot, weight = _slot_counts(ta.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], in_lower=True))
         parts.append((text + a, slot, weight))
     text, slot, weight = (np.concatenate(x) for x in zip(*parts))
     n = len(texts)
@@ -83,7 +83,7 @@ def _posterior_batches(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -
     for batch in batches:
         data, offsets = ta.text_bytes(batch.column("text"))
         for a, b in ta.pieces(offsets):
-            found = ta.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lower=True)
+            found = ta.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], in_lower=True)
             text, slot, weight = _slot_counts(found)
             z = np.stack([np.bincount(text, weight * weights[slot, k], b - a) for k in range(n_domains)], 1)
             posterior = _softmax(z + weights[-1])

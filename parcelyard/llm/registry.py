@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from parcelyard.llm import (
     licences,
     line_dedup,
+    lm_scoring,
     mixing,
     ngram_join,
     packing,
@@ -96,6 +97,12 @@ def repeated_bytes(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def text_scores(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    scored = lm_scoring.score_texts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return scored.withColumnRenamed("doc", "doc_id")
+
+
 def packed_pieces(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
     pieces = packing.cut_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -120,6 +127,7 @@ QUERIES: dict[str, Query] = {
     "op2_ngram_links": ngram_links,
     "op3_top_vectors": top_vectors,
     "op4_domain_rates": domain_rates,
+    "op5_text_scores": text_scores,
     "op6_repeated_bytes": repeated_bytes,
     "op7_packed_pieces": packed_pieces,
     "op8_fuzzy_lines": fuzzy_lines,

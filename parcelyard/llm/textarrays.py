@@ -47,6 +47,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def lower(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case."""
+    return _LOWER[data]
+
+
 def pieces(offsets: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of texts of about ``most`` bytes, as first and last (exclusive) index."""
     first, n = 0, len(offsets) - 1
@@ -71,8 +76,8 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """Words of the texts at ``offsets`` of ``data``, with ASCII letters in lower case if asked."""
+def words(data: np.ndarray, offsets: np.ndarray, in_lower: bool = False) -> Words:
+    """Words of the texts at ``offsets`` of ``data``, in lower case (A-Z) if asked."""
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
@@ -91,8 +96,8 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     if not len(start):
         return Words(start, end, np.zeros(0, np.uint64), first)
     chars = data[inside]
-    if lower:
-        chars = _LOWER[chars]
+    if in_lower:
+        chars = lower(chars)
     length = end - start
     begins = np.cumsum(length) - length
     place = np.arange(len(chars)) - np.repeat(begins, length)
