@@ -41,11 +41,9 @@ class OpenSequences:
         size, count = self.size, self.count
         gaps = np.flatnonzero(count[length:size]) + length
         rest = gaps - length
-        change = 2 * (np.where(rest > 0, count[rest] + 1, 0) - count[gaps])
+        change = np.where(rest > 0, 2 * count[rest] + 1, 0) - (2 * count[gaps] - 1)
         best = int(np.argmin(change)) if len(gaps) else -1
-        fresh = 2 * count[size - length] + 1 if length < size else 0
-        # where a full sequence is left, nothing is added: 1 - 2 count against 2 - 2 count + 2 rest
-        if best >= 0 and change[best] + (1 if rest[best] == 0 else 0) <= fresh:
+        if best >= 0 and change[best] <= (2 * count[size - length] + 1 if length < size else 0):
             gap = int(gaps[best])
             sequence = self.stacks[gap].pop()
             count[gap] -= 1
@@ -124,16 +122,19 @@ def _placed_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa
 def place_pieces(pieces: DataFrame, size: int = SEQUENCE, group: int = GROUP) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; lengths are from 1 to ``size``.
 
-    Pieces are dealt evenly to groups of about ``group``, longest first within one; a
-    group is packed as a stream that holds its open sequences only. Each group may
-    leave some sequences unfilled, which is little against all it fills. The pieces are
-    written to the shared folder first, so that a retried task sees the same rows.
+    Pieces are dealt evenly to groups of about ``group``. Within one, those longer than
+    half a sequence come first, longest first, and the others in the order of a hash,
+    which leaves the least room unused; a group is packed as a stream that holds its open
+    sequences only. Each group may leave some sequences unfilled, which is little against
+    all it fills. The pieces are written to the shared folder first, so that a retried
+    task sees the same rows.
     """
     fixed = stored(pieces.drop("sequence_id", "offset"))
     groups = max(1, -(-fixed.count() // group))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fixed.schema)
+    halves = F.greatest(F.col("length"), F.lit(size // 2))
     return (
         fixed.repartition(groups)
-        .sortWithinPartitions(F.desc("length"), *[c for c in fixed.columns if c != "length"])
+        .sortWithinPartitions(F.desc(halves), F.xxhash64(*fixed.columns), *fixed.columns)
         .mapInArrow(partial(_placed_batches, size=size), f"{schema}, sequence_id long, offset long")
     )
