@@ -2,35 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Ranges that one pass counts: as many rows at most leave a task, whatever the table.
+RANGES = 4096
+
 
-def exact_quantile(
-    df: DataFrame, column: str, q: float = 0.5, accuracy: int = 1_000_000
-) -> DataFrame:
-    """One row: the smallest value with at least a share ``q`` of the values at or below it.
+def exact_quantile(df: DataFrame, column: str, q: float = 0.5, ranges: int = RANGES) -> float | None:
+    """The smallest value with at least a share ``q`` of the values at or below it.
 
-    A sketch first brackets the answer between two ranks it is guaranteed to lie
-    between. The values below the bracket are only counted; those inside, a few
-    in ``accuracy`` of the table with repeats counted together, are ranked.
+    Every pass counts the values per range of equal width, picks the range that holds
+    the wanted rank by running count, and shrinks it to the values really in it, until
+    those are a single one. A pass shuffles at most ``ranges`` counts per task and
+    brings one row to the driver. Null without values. Each pass reads ``column``
+    again, so ``df`` should be a stored table.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
-    margin = 4.0 / accuracy
-    bracket = [max(q - margin, 0.0), min(q + margin, 1.0)]
-    # One subquery for all three figures, so that the table is read for them once.
-    ends = values.agg(
-        F.struct(
-            F.percentile_approx("v", bracket, accuracy).alias("values"),
-            F.greatest(F.ceil(F.count("v") * F.lit(q)), F.lit(1)).alias("rank"),
+    values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
+    first = values.agg(
+        F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+    ).first()
+    if not first["n"]:
+        return None
+    low, high, below = first["low"], first["high"], 0
+    rank = max(math.ceil(first["n"] * q), 1)
+    while low < high:
+        counted = (
+            values.filter(F.col("v").between(low, high))
+            .groupBy(F.width_bucket("v", F.lit(low), F.lit(high), F.lit(ranges)).alias("range"))
+            .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            .orderBy("range")
+            .limit(ranges + 1)
+            .collect()
         )
-    ).scalar()
-    low, high, rank = ends["values"][0], ends["values"][1], ends["rank"]
-    # Everything below the bracket collapses onto one row that sorts first.
-    position = F.when(F.col("v") >= low, F.col("v"))
-    counted = (
-        values.filter(F.col("v") <= high).groupBy(position.alias("v")).agg(F.count("*").alias("n"))
-    )
-    upto = Window.orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("upto", F.sum("n").over(upto))
-    return ranked.filter(F.col("upto") >= rank).agg(F.min("v").alias("quantile"))
+        for row in counted:
+            if below + row["n"] >= rank:
+                break
+            below += row["n"]
+        else:
+            raise AssertionError("the table changed between two passes")
+        low, high = row["low"], row["high"]
+    return low

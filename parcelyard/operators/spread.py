@@ -2,48 +2,57 @@
 
 The optimizer splits a hot key by itself only if both sides arrive straight from a
 shuffle. Here the lookup usually comes out of an aggregate, so the split is spelled
-out: rows of hot keys are spread over several partitions, and the lookup rows of
-just those keys are repeated there. No row is dropped and none is matched twice.
+out: rows of hot keys are spread over all shuffle partitions, and the lookup rows of
+just those keys are repeated there. Rows without a key are spread too, as they match
+nothing anywhere. No row is dropped and none is matched twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.001, at_least: int = 100_000) -> Column:
-    """Keys holding at least ``share`` of the rows, as an array.
+def shuffle_ways(spark: SparkSession) -> int:
+    """Partitions of a shuffle in this session."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    There can be no more than ``1 / share`` of them, whatever the size of the table.
-    Counts are exact, so every evaluation yields the same keys.
+
+def hot_keys(df: DataFrame, key: str, ways: int) -> DataFrame:
+    """(key, hot): keys that hold at least the share of rows that one of ``ways`` tasks should.
+
+    There can be no more than ``ways`` of them, whatever the size of the table. Counts
+    are exact, so every evaluation yields the same keys.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = df.agg(F.count(F.lit(1))).scalar()
-    hot = counts.filter((F.col("n") >= at_least) & (F.col("n") >= share * total))
-    return hot.agg(F.collect_set(key)).scalar()
+    return counts.filter(F.col("_n") * ways >= total).select(key, F.lit(True).alias("_hot"))
 
 
 def spread_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread_by: str,
-    ways: int = 64,
-    share: float = 0.001,
-    at_least: int = 100_000,
+    left: DataFrame, right: DataFrame, key: str, spread_by: str, ways: int | None = None
 ) -> DataFrame:
-    """``left`` joined to ``right`` on ``key``, with hot and null keys spread ``ways`` wide.
+    """``left`` joined to ``right`` on ``key``, with hot and null keys spread over all tasks.
 
+    ``right`` counts by its least row per key, so that no left row is multiplied.
     ``spread_by`` is a left column that varies within a hot key, such as a row id. It
-    decides the partition by its hash, so a retried task repeats its choice.
+    decides the partition by its hash, so a retried task repeats its choice. What is
+    broadcast are the hot keys, at most ``ways`` (by default the shuffle partitions).
+    Where a query reads no column of ``right``, the join and all below it leave the plan.
     """
-    hot = hot_keys(left, key, share, at_least)
-    is_hot = F.coalesce(F.array_contains(hot, F.col(key)), F.lit(False))
+    ways = ways or shuffle_ways(left.sparkSession)
+    hot = hot_keys(left, key, ways)
     slot = F.pmod(F.xxhash64(spread_by), F.lit(ways)).cast("int")
-    spread = left.withColumn(
-        "_slot", F.when(F.col(key).isNull() | is_hot, slot).otherwise(0)
+    spread = left.join(F.broadcast(hot), key, "left").withColumn(
+        "_slot", F.when(F.col(key).isNull() | F.col("_hot"), slot).otherwise(0)
+    )
+    values = [c for c in right.columns if c != key]
+    slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1)))
+    repeated = (
+        right.join(F.broadcast(hot), key, "left")
+        .withColumn("_slot", F.explode(F.coalesce(slots, F.array(F.lit(0)))))
+        .groupBy(key, "_slot")
+        .agg(F.min(F.struct(*values)).alias("_row"))
+        .select(key, "_slot", "_row.*")
     )
-    slots = F.when(is_hot, F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.withColumn("_slot", F.explode(slots))
-    return spread.join(repeated, [key, "_slot"], "left").drop("_slot")
+    return spread.drop("_hot").join(repeated, [key, "_slot"], "left").drop("_slot")

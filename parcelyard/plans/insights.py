@@ -53,10 +53,13 @@ def weakest_sellers(performance: DataFrame, min_orders: int = 50) -> DataFrame:
 
 
 def typical_freight_ratio(orders: DataFrame) -> DataFrame:
-    """INS5: mean and exact (lower) median of the order freight ratio."""
-    median = exact_quantile(orders, "freight_ratio").scalar()
+    """INS5: mean and exact (lower) median of the order freight ratio.
+
+    The median takes a few passes over the ratio, which is cheap on the stored fact.
+    """
+    median = exact_quantile(orders, "freight_ratio")
     return orders.agg(F.avg("freight_ratio").alias("mean_ratio")).select(
-        "mean_ratio", median.alias("median_ratio")
+        "mean_ratio", F.lit(median).cast("double").alias("median_ratio")
     )
 
 

@@ -104,8 +104,9 @@ def fct_orders(
     """Order fact with the address the person uses most (FCT2).
 
     The address goes onto the narrow customer table first; the wide order rows then
-    need a single join by ``customer_id``. Both sides of that join come straight from
-    a shuffle, so adaptive execution can split a customer with very many orders.
+    need a single join by ``customer_id``. Persons with many customer ids, customers
+    with many orders and orders without a customer are spread over all tasks. A report
+    that reads no address leaves both joins out.
     """
     people = spread_left_join(
         customers.select("customer_id", "customer_unique_id"),
@@ -114,8 +115,9 @@ def fct_orders(
         spread_by="customer_id",
     )
     return (
-        order_facts(orders, freight, reviews)
-        .join(people, "customer_id", "left")
+        spread_left_join(
+            order_facts(orders, freight, reviews), people, "customer_id", spread_by="order_id"
+        )
         .select(
             "order_id",
             "customer_id",

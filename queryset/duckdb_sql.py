@@ -233,6 +233,26 @@ TABLES: dict[str, str] = {
         LEFT JOIN stg_order_reviews USING (order_id)
         LEFT JOIN (SELECT customer_id, customer_unique_id FROM stg_customers) USING (customer_id)
         LEFT JOIN dim_customer a USING (customer_unique_id)""",
+    "hot_customers": """
+        SELECT * REPLACE (CASE WHEN CAST(customer_id AS BIGINT) % 3 = 0 THEN '0'
+                               ELSE customer_unique_id END AS customer_unique_id)
+        FROM stg_customers""",
+    "hot_addresses": """
+        SELECT customer_unique_id, customer_city, customer_state
+        FROM hot_customers
+        GROUP BY customer_unique_id, customer_zip_code_prefix, customer_city, customer_state
+        QUALIFY row_number() OVER (
+            PARTITION BY customer_unique_id ORDER BY count(*) DESC, min(customer_id)) = 1""",
+    "fct_orders_hot": """
+        SELECT f.* REPLACE (c.hot_id AS customer_id, h.customer_unique_id AS customer_unique_id,
+                            a.customer_state AS customer_state, a.customer_city AS customer_city)
+        FROM fct_orders f
+        JOIN (SELECT order_id, CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN '1'
+                                    WHEN CAST(order_id AS BIGINT) % 7 = 0 THEN NULL
+                                    ELSE customer_id END AS hot_id FROM stg_orders) c
+             ON c.order_id = f.order_id
+        LEFT JOIN hot_customers h ON h.customer_id = c.hot_id
+        LEFT JOIN hot_addresses a ON a.customer_unique_id = h.customer_unique_id""",
     "mart_data_quality": "SELECT * EXCLUDE (order_count) FROM int_data_quality_flags",
     "severity_points": """
         SELECT * FROM (VALUES ('On Time', 100.0), ('1-3 days late', 70.0),

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelyard.operators.spread import hot_keys, spread_left_join
-from tests.helpers import rows
+from tests.helpers import plan, rows
 
 
 @pytest.fixture(scope="module")
@@ -21,21 +21,36 @@ def names(spark):
     )
 
 
-def test_hot_keys_are_few_and_exact(spark, hot):
-    found = spark.range(1).select(hot_keys(hot, "k", share=0.1, at_least=1).alias("v")).first().v
-    assert found == ["hot"]
-    none = spark.range(1).select(hot_keys(hot, "k").alias("v")).first().v
-    assert none == []
+def test_hot_keys_are_few_and_exact(hot):
+    assert [r.k for r in hot_keys(hot, "k", 8).collect()] == ["hot"]
+    assert hot_keys(hot, "k", 2).count() == 0
+    assert hot_keys(hot, "k", 3000).count() <= 3000
 
 
-@pytest.mark.parametrize("at_least", [1, 10**9])
-def test_spread_join_equals_plain_join(hot, names, at_least):
+@pytest.mark.parametrize("ways", [None, 1, 8, 1000])
+def test_spread_join_equals_plain_join(hot, names, ways):
     plain = hot.join(names, "k", "left")
-    spread = spread_left_join(hot, names, "k", "row", ways=8, share=0.1, at_least=at_least)
-    assert spread.columns == plain.columns
+    spread = spread_left_join(hot, names, "k", "row", ways)
+    assert sorted(spread.columns) == sorted(plain.columns)
     assert rows(spread) == rows(plain)
 
 
+def test_unread_lookup_leaves_the_plan(hot, names):
+    text = plan(spread_left_join(hot, names, "k", "row", 8).groupBy("row").count(), "simple")
+    assert "Join" not in text
+
+
+def test_hot_branch_runs_in_the_registered_query(spark, small_dir):
+    from queryset.catalog import HotInputs
+
+    hot_inputs = HotInputs(spark, small_dir)
+    customers, orders = (hot_inputs.staged[t] for t in ("stg_customers", "stg_orders"))
+    assert "0" in {r.customer_unique_id for r in hot_keys(customers, "customer_unique_id", 4).collect()}
+    assert [r.customer_id for r in hot_keys(orders, "customer_id", 4).collect()] == ["1"]
+    text = plan(hot_inputs.models.fct_orders, "simple")
+    assert text.count("_slot") >= 2 and "CartesianProduct" not in text
+
+
 def test_spread_join_divides_the_hot_key(spark, hot, names):
     before = {
         k: spark.conf.get(k)
@@ -49,7 +64,7 @@ def test_spread_join_divides_the_hot_key(spark, hot, names):
             return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
 
         assert largest(hot.join(names, "k", "left").select("row", "name")) > 1000
-        spread = spread_left_join(hot, names, "k", "row", ways=64, share=0.1, at_least=1)
+        spread = spread_left_join(hot, names, "k", "row", ways=64)
         assert largest(spread.select("row", "name")) < 1000
     finally:
         for k, v in before.items():
