@@ -315,15 +315,21 @@ def calendar_gaps(t: Tables) -> DataFrame:
 
 
 def item_fact_differences(t: Tables) -> DataFrame:
-    """CHK9: item keys whose money differs, or that only staging or the fact holds."""
+    """CHK9: item rows that staging and the fact hold a different number of times.
+
+    One row for each differing content, with its counts. The money stands on the side
+    that holds more of it, so a changed price shows as two rows.
+    """
     keys, values = ["order_id", "order_item_id"], ["price", "freight_value"]
     broken = row_differences(t["stg_order_items"], t["fct_order_items"], keys, values)
-    in_stg, in_fct = F.col("left_rows") > F.col("right_rows"), F.col("right_rows") > F.col("left_rows")
-    return broken.groupBy(*keys).agg(
-        F.max(F.when(in_stg, F.col("price"))).alias("stg_price"),
-        F.max(F.when(in_fct, F.col("price"))).alias("fct_price"),
-        F.max(F.when(in_stg, F.col("freight_value"))).alias("stg_freight_value"),
-        F.max(F.when(in_fct, F.col("freight_value"))).alias("fct_freight_value"),
+    in_stg = F.col("left_rows") > F.col("right_rows")
+    sides = {"stg_price": "price", "stg_freight_value": "freight_value"}
+    return broken.select(
+        *keys,
+        *[F.when(in_stg, F.col(c)).alias(name) for name, c in sides.items()],
+        *[F.when(~in_stg, F.col(c)).alias(name.replace("stg", "fct")) for name, c in sides.items()],
+        F.col("left_rows").alias("stg_rows"),
+        F.col("right_rows").alias("fct_rows"),
     )
 
 

@@ -20,6 +20,7 @@ from parcelyard.sources.calendar import observed_range
 from parcelyard.sources.raw import raw_counts, read_raw_table, write_raw_csv
 from parcelyard.sources.tables import register_views, scratch_path, write_orders
 from parcelyard.streaming.intake import load_new_files
+from queryset import planted
 from queryset.duckdb_sql import CONSTRAINTS, nudge, rounded, with_tables
 
 ORDER_DATES = (
@@ -80,6 +81,7 @@ class Query:
     build: Callable[[Inputs], DataFrame]
     sql: str
     digits: dict[str, int] = field(default_factory=dict)
+    faults: dict[str, planted.Fault] = field(default_factory=dict)
 
     def run(self, spark: SparkSession, directory: str) -> DataFrame:
         df = self.build(Inputs(spark, directory))
@@ -88,7 +90,8 @@ class Query:
         )
 
     def oracle(self) -> str:
-        return with_tables(rounded(self.sql, self.digits))
+        body, tables = planted.planted_sql(rounded(self.sql, self.digits), self.faults)
+        return with_tables(body, tables)
 
 
 def _digits(money: str = "", rates: str = "") -> dict[str, int]:
@@ -551,9 +554,26 @@ _add(
 
 # --- checks --------------------------------------------------------------------
 
+_GENERIC_FAULTS = {
+    "not_null": planted.null_faults(checks.NOT_NULL),
+    "unique": planted.twice_faults(checks.UNIQUE),
+    "accepted_values": planted.value_faults(checks.ACCEPTED_VALUES),
+    "relationships": planted.orphan_faults(checks.RELATIONSHIPS),
+    "accepted_range": planted.range_faults(checks.ACCEPTED_RANGE),
+    "unique_combination": planted.twice_faults(checks.UNIQUE_COMBINATION),
+    "equal_rowcount": planted.missing_faults(*checks.EQUAL_ROWCOUNT),
+}
+
+# Every check runs on the tables as they are and on tables with faults that it must find.
 for _key, _sql in CONSTRAINTS.items():
     _kind = _key.split("_", 1)[1]
+    _faults = _GENERIC_FAULTS[_kind]
     _add(_key, lambda i, kind=_kind: checks.GENERIC[kind](i.everything), _sql)
+    QUERIES[f"{_key}_planted"] = Query(
+        lambda i, kind=_kind, f=_faults: checks.GENERIC[kind](planted.Planted(i.everything, f)),
+        _sql,
+        faults=_faults,
+    )
 
 
 def _purchase_days_only(i: Inputs) -> DataFrame:
@@ -564,7 +584,12 @@ def _purchase_days_only(i: Inputs) -> DataFrame:
 
 
 def _check(name: str, check: str, sql: str, digits=None) -> None:
-    _add(name, lambda i: checks.SINGULAR[check].violations(i.models), sql, digits)
+    find, faults = checks.SINGULAR[check].violations, planted.SINGULAR_FAULTS.get(check)
+    _add(name, lambda i: find(i.models), sql, digits)
+    if faults:
+        QUERIES[f"{name}_planted"] = Query(
+            lambda i: find(planted.Planted(i.models, faults)), sql, digits or {}, faults
+        )
 
 
 # A calendar that ends with the last purchase misses the later deliveries.
@@ -578,16 +603,19 @@ _add(
 _check(
     "chk9_item_fact_differences",
     "item_fact_differences",
-    """SELECT order_id, order_item_id, max(price) FILTER (WHERE side = 's') AS stg_price,
-              max(price) FILTER (WHERE side = 'f') AS fct_price,
-              max(freight_value) FILTER (WHERE side = 's') AS stg_freight_value,
-              max(freight_value) FILTER (WHERE side = 'f') AS fct_freight_value
-       FROM (SELECT 's' AS side, * FROM (SELECT * FROM stg_order_items
-                                         EXCEPT ALL SELECT * FROM fct_order_items)
-             UNION ALL
-             SELECT 'f' AS side, * FROM (SELECT * FROM fct_order_items
-                                         EXCEPT ALL SELECT * FROM stg_order_items))
-       GROUP BY order_id, order_item_id""",
+    """SELECT order_id, order_item_id,
+              CASE WHEN stg_rows > fct_rows THEN price END AS stg_price,
+              CASE WHEN stg_rows > fct_rows THEN freight_value END AS stg_freight_value,
+              CASE WHEN stg_rows < fct_rows THEN price END AS fct_price,
+              CASE WHEN stg_rows < fct_rows THEN freight_value END AS fct_freight_value,
+              stg_rows, fct_rows
+       FROM (SELECT order_id, order_item_id, price, freight_value,
+                    count(*) FILTER (WHERE side = 's') AS stg_rows,
+                    count(*) FILTER (WHERE side = 'f') AS fct_rows
+             FROM (SELECT 's' AS side, * FROM stg_order_items
+                   UNION ALL SELECT 'f' AS side, * FROM fct_order_items)
+             GROUP BY order_id, order_item_id, price, freight_value)
+       WHERE stg_rows <> fct_rows""",
 )
 _check(
     "chk10_experience_orphans",
@@ -636,6 +664,7 @@ _check(
     "chk16_negative_freight_ratio",
     "negative_freight_ratio",
     "SELECT order_id, freight_ratio FROM int_order_freight_metrics WHERE freight_ratio < 0",
+    _digits(rates="freight_ratio"),
 )
 _check(
     "chk17_freight_rowcount",
@@ -653,6 +682,7 @@ _check(
        FULL JOIN int_order_freight_metrics USING (order_id)
        WHERE round(exp_price, 2) IS DISTINCT FROM round(total_price, 2)
           OR round(exp_freight, 2) IS DISTINCT FROM round(total_freight_value, 2)""",
+    _digits("exp_price total_price exp_freight total_freight_value"),
 )
 _check(
     "chk19_seller_ratio_expression",
@@ -661,6 +691,7 @@ _check(
        FROM int_seller_freight_metrics
        WHERE (total_price = 0) <> (freight_ratio IS NULL)
           OR abs(freight_ratio * total_price - total_freight_value) > 1e-6""",
+    _FREIGHT,
 )
 _check(
     "chk20_seller_sums",
@@ -674,6 +705,7 @@ _check(
        WHERE round(exp_price, 2) IS DISTINCT FROM round(total_price, 2)
           OR round(exp_freight, 2) IS DISTINCT FROM round(total_freight_value, 2)
           OR exp_orders IS DISTINCT FROM order_volume""",
+    _digits("exp_price total_price exp_freight total_freight_value"),
 )
 _check(
     "chk21_on_time_rate_range",

@@ -9,7 +9,132 @@ from __future__ import annotations
 
 import re
 
-from parcelyard.plans import checks as K
+
+# The declared constraints, stated here a second time so that a wrong list
+# in the library cannot pass.
+_NOT_NULL_LINES = """
+raw.orders: order_id
+raw.order_items: order_id, order_item_id
+raw.order_payments: order_id
+raw.order_reviews: order_id, review_id
+raw.customers: customer_id
+raw.sellers: seller_id
+raw.products: product_id
+raw.geolocation: geolocation_zip_code_prefix
+raw.product_category_name_translation: product_category_name
+stg_customers: customer_id, customer_unique_id
+stg_geolocation: zip_code_prefix
+stg_order_items: order_id, order_item_id, product_id, seller_id
+stg_order_payments: order_id, payment_sequential
+stg_order_reviews: order_id
+stg_orders: order_id, order_purchase_timestamp
+stg_product_category_translation: product_category_name, product_category_name_english
+stg_products: product_id
+stg_sellers: seller_id
+int_order_delivery_metrics: order_id, order_status
+int_order_freight_metrics: order_id
+int_customer_experience_metrics: order_id
+int_seller_performance_metrics: seller_id
+int_seller_freight_metrics: seller_id, time_period
+int_data_quality_flags: order_month
+dim_customer: customer_unique_id
+dim_date: date_day
+dim_location: zip_code_prefix
+dim_product: product_id
+dim_seller: seller_id
+fct_order_items: order_id, order_item_id, product_id, seller_id
+fct_orders: order_id
+mart_data_quality: order_month
+mart_logistics_performance_score: order_month, final_score, order_count, delivery_coverage
+mart_seller_freight: seller_id, time_period
+mart_seller_performance: seller_id, time_period
+"""
+_UNIQUE_LINES = """
+raw.orders: order_id
+raw.customers: customer_id
+raw.sellers: seller_id
+raw.products: product_id
+raw.product_category_name_translation: product_category_name
+stg_customers: customer_id
+stg_geolocation: zip_code_prefix
+stg_order_reviews: order_id
+stg_orders: order_id
+stg_product_category_translation: product_category_name
+stg_products: product_id
+stg_sellers: seller_id
+int_order_delivery_metrics: order_id
+int_order_freight_metrics: order_id
+int_customer_experience_metrics: order_id
+int_seller_performance_metrics: seller_id
+int_data_quality_flags: order_month
+dim_customer: customer_unique_id
+dim_date: date_day
+dim_location: zip_code_prefix
+dim_product: product_id
+dim_seller: seller_id
+fct_orders: order_id
+mart_data_quality: order_month
+mart_logistics_performance_score: order_month
+"""
+_COMBINATION_LINES = """
+raw.order_items: order_id, order_item_id
+stg_order_items: order_id, order_item_id
+stg_order_payments: order_id, payment_sequential
+int_seller_freight_metrics: seller_id, time_period
+fct_order_items: order_id, order_item_id
+mart_seller_freight: seller_id, time_period
+mart_seller_performance: seller_id, time_period
+"""
+_RELATION_LINES = """
+fct_order_items.order_id: fct_orders.order_id
+fct_order_items.product_id: dim_product.product_id
+fct_order_items.seller_id: dim_seller.seller_id
+fct_orders.customer_unique_id: dim_customer.customer_unique_id
+mart_seller_freight.seller_id: dim_seller.seller_id
+mart_seller_performance.seller_id: dim_seller.seller_id
+"""
+ACCEPTED = {
+    ("stg_order_reviews", "review_score"): [1, 2, 3, 4, 5],
+    ("int_order_delivery_metrics", "order_status"): [
+        "approved", "canceled", "created", "delivered", "invoiced", "processing", "shipped",
+        "unavailable",
+    ],
+    ("int_order_delivery_metrics", "severity"): [
+        "On Time", "1-3 days late", "4-7 days late", "8+ days late",
+        "Delivery data unavailable", "Canceled or unavailable",
+    ],
+    ("int_customer_experience_metrics", "review_score"): [1, 2, 3, 4, 5],
+    ("dim_date", "month_name"): [
+        "January", "February", "March", "April", "May", "June", "July", "August",
+        "September", "October", "November", "December",
+    ],
+    ("dim_date", "day_of_week"): [1, 2, 3, 4, 5, 6, 7],
+    ("dim_date", "is_weekend"): [0, 1],
+}
+_QUALITY_SHARES = (
+    "pct_orders_unavailable_delivery_data pct_orders_canceled_or_unavailable "
+    "pct_orders_missing_review pct_orders_impossible_date_ordering"
+).split()
+RANGES = {
+    ("stg_order_items", "price"): (0, None),
+    ("stg_order_items", "freight_value"): (0, None),
+    ("stg_order_payments", "payment_value"): (0, None),
+    ("int_seller_freight_metrics", "total_price"): (0, None),
+    ("int_seller_freight_metrics", "total_freight_value"): (0, None),
+    ("int_seller_freight_metrics", "freight_ratio"): (0, None),
+    **{("int_data_quality_flags", c): (0, 1) for c in _QUALITY_SHARES},
+    **{("mart_data_quality", c): (0, 1) for c in _QUALITY_SHARES},
+    ("mart_logistics_performance_score", "final_score"): (0, 100),
+    ("mart_logistics_performance_score", "order_count"): (1, None),
+    ("mart_logistics_performance_score", "delivery_coverage"): (0, 1),
+    ("mart_seller_freight", "freight_ratio"): (0, None),
+    ("mart_seller_performance", "on_time_rate"): (0, 1),
+}
+
+
+def _columns(lines: str) -> dict[str, list[str]]:
+    pairs = (line.split(": ") for line in lines.strip().splitlines())
+    return {table: names.split(", ") for table, names in pairs}
 
 TABLES: dict[str, str] = {
     # Source tables, typed.
@@ -315,10 +440,11 @@ TABLES: dict[str, str] = {
 }
 
 
-def with_tables(body: str) -> str:
-    """``body`` preceded by the tables it names, directly or through others."""
+def with_tables(body: str, more: dict[str, str] | None = None) -> str:
+    """``body`` preceded by the tables it names, directly or through others, and by ``more``."""
     needed: set[str] = set()
-    pending = [body]
+    more = more or {}
+    pending = [body, *more.values()]
     while pending:
         text = pending.pop()
         for name in TABLES:
@@ -326,6 +452,7 @@ def with_tables(body: str) -> str:
                 needed.add(name)
                 pending.append(TABLES[name])
     parts = [f"{name} AS ({TABLES[name]}\n)" for name in TABLES if name in needed]
+    parts += [f"{name} AS ({sql}\n)" for name, sql in more.items()]
     return f"WITH {', '.join(parts)}\n{body}" if parts else body
 
 
@@ -374,16 +501,16 @@ def _duplicates(table: str, columns: list[str]) -> str:
 CONSTRAINTS: dict[str, str] = {
     "chk1_not_null": " UNION ALL ".join(
         _violations(t, c, f"count(*) FILTER (WHERE {c} IS NULL)", _name(t))
-        for t, columns in K.NOT_NULL.items()
+        for t, columns in _columns(_NOT_NULL_LINES).items()
         for c in columns
     ),
     "chk2_unique": " UNION ALL ".join(
-        _violations(t, c, f"count({c})", _duplicates(t, [c])) for t, c in K.UNIQUE.items()
+        _violations(t, c, f"count({c})", _duplicates(t, [c]))
+        for t, (c,) in _columns(_UNIQUE_LINES).items()
     ),
     "chk3_accepted_values": " UNION ALL ".join(
         _violations(t, c, f"count(*) FILTER (WHERE {c} NOT IN ({_literals(v)}))", _name(t))
-        for t, columns in K.ACCEPTED_VALUES.items()
-        for c, v in columns.items()
+        for (t, c), v in ACCEPTED.items()
     ),
     "chk4_relationships": " UNION ALL ".join(
         _violations(
@@ -393,20 +520,20 @@ CONSTRAINTS: dict[str, str] = {
             f"{child} x WHERE {c} IS NOT NULL AND NOT EXISTS "
             f"(SELECT 1 FROM {parent} y WHERE y.{field} = x.{c})",
         )
-        for child, c, parent, field in K.RELATIONSHIPS
+        for line in _RELATION_LINES.strip().splitlines()
+        for child, c, parent, field in [re.split(r"\.|: ", line)]
     ),
     "chk5_accepted_range": " UNION ALL ".join(
         _violations(t, c, f"count(*) FILTER (WHERE {_outside(c, *ends)})", _name(t))
-        for t, columns in K.ACCEPTED_RANGE.items()
-        for c, ends in columns.items()
+        for (t, c), ends in RANGES.items()
     ),
     "chk6_unique_combination": " UNION ALL ".join(
         _violations(t, ", ".join(columns), "count(*)", _duplicates(t, columns))
-        for t, columns in K.UNIQUE_COMBINATION.items()
+        for t, columns in _columns(_COMBINATION_LINES).items()
     ),
     "chk7_equal_rowcount": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '*' AS column_name, "
         f"abs((SELECT count(*) FROM {t}) - (SELECT count(*) FROM {other})) AS violations"
-        for t, other in K.EQUAL_ROWCOUNT.items()
+        for t, other in (("fct_orders", "stg_orders"), ("fct_order_items", "stg_order_items"))
     ),
 }

@@ -90,11 +90,15 @@ def test_item_fact_differences(spark):
         [("same", 1, 1.0, None), ("price", 1, 9.0, 2.0), ("null", 1, 5.0, 2.0), ("fct", 1, 4.0, 1.0)],
         schema,
     )
-    got = {
-        r.order_id: (r.stg_price, r.fct_price)
-        for r in _found("item_fact_differences", stg_order_items=stg, fct_order_items=fct).collect()
+    found = _found("item_fact_differences", stg_order_items=stg, fct_order_items=fct)
+    assert rows(found, "order_id", "stg_price", "fct_price", "stg_rows", "fct_rows") == {
+        ("price", 1.0, None, 1, 0): 1,
+        ("price", None, 9.0, 0, 1): 1,
+        ("null", None, None, 1, 0): 1,
+        ("null", None, 5.0, 0, 1): 1,
+        ("stg", 3.0, None, 1, 0): 1,
+        ("fct", None, 4.0, 0, 1): 1,
     }
-    assert got == {"price": (1.0, 9.0), "null": (None, 5.0), "stg": (3.0, None), "fct": (None, 4.0)}
 
 
 def test_order_level_checks(spark):
