@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import unicodedata
+from types import ModuleType
 
 import numpy as np
 
@@ -58,10 +60,25 @@ def word_starts(points: np.ndarray, classes: np.ndarray, first: np.ndarray) -> n
     return np.flatnonzero(starts)
 
 
+def kept_encoder(model_json: str) -> Encoder:
+    """The encoder of this Python worker, so that later tasks find the words of earlier ones.
+
+    Task functions come by value, and with them fresh globals for each task; a module
+    of its own in the worker outlives them.
+    """
+    home = sys.modules.setdefault("_parcelyard_worker", ModuleType("_parcelyard_worker"))
+    encoders = home.__dict__.setdefault("encoders", {})
+    name = hash(model_json)
+    if name not in encoders:
+        encoders.clear()
+        encoders[name] = Encoder(model_json)
+    return encoders[name]
+
+
 class Encoder:
     """Ids of texts; remembers the ids of words up to a bound."""
 
-    def __init__(self, model_json: str, most_words: int = 300_000):
+    def __init__(self, model_json: str, most_words: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from parcelyard.llm import attention as at
 from parcelyard.llm import textarrays as ta
-from parcelyard.llm.bytepair import Encoder
+from parcelyard.llm.bytepair import kept_encoder
 from parcelyard.llm.storage import stored, text_or_empty
 
 SMOOTHING = 0.1
@@ -66,7 +66,7 @@ def _prepared_batches(
     batches: Iterator[pa.RecordBatch], words: np.ndarray, logs: np.ndarray, model_json: str
 ) -> Iterator[pa.RecordBatch]:
     """Texts to their subword ids, the base score of frequent words, and the other words."""
-    encoder = Encoder(model_json)
+    encoder = kept_encoder(model_json)
     rare_kind = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int32())]))
     for batch in batches:
         data, offsets = ta.text_bytes(batch.column("text"))

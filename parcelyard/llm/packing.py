@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelyard.llm import textarrays as ta
-from parcelyard.llm.bytepair import Encoder
+from parcelyard.llm.bytepair import kept_encoder
 from parcelyard.llm.storage import stored, text_or_empty
 
 SEQUENCE = 1024
@@ -59,12 +59,12 @@ class OpenSequences:
 def _piece_batches(
     batches: Iterator[pa.RecordBatch], model_json: str, size: int, end_id: int
 ) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(model_json)
+    encoder = kept_encoder(model_json)
     for batch in batches:
         texts = batch.column("text")
         rest = batch.drop_columns(["text"])
         _, offsets = ta.text_bytes(texts)
-        for a, b in ta.pieces(offsets, 4 * ta.PIECE_BYTES):
+        for a, b in ta.pieces(offsets, 2 * ta.PIECE_BYTES):
             ids, counts = encoder.encode(texts.slice(a, b - a).to_pylist())
             ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
             counts = counts + 1
