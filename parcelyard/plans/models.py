@@ -60,9 +60,12 @@ class Models:
 
     @classmethod
     def from_raw(
-        cls, raw: Mapping[str, DataFrame], calendar: Callable[[], DataFrame] | None = None
+        cls,
+        raw: Mapping[str, DataFrame],
+        calendar: Callable[[], DataFrame] | None = None,
+        ascii_only: bool = False,
     ) -> Models:
-        return cls(stage(raw), calendar)
+        return cls(stage(raw, ascii_only), calendar)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._staging:
@@ -71,6 +74,10 @@ class Models:
             return getattr(self, name)
         raise KeyError(name)
 
+    @property
+    def calendar(self) -> Callable[[], DataFrame] | None:
+        return self._calendar
+
     @property
     def spark(self) -> SparkSession:
         return self["stg_orders"].sparkSession

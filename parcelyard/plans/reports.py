@@ -64,6 +64,20 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
+def _purchase_month(orders: DataFrame) -> Column:
+    """The month folder where there is one, so that the timestamp need not be read."""
+    return F.col("order_month") if "order_month" in orders.columns else month_start(F.col(PURCHASE))
+
+
+def _sorted(groups: DataFrame, *columns: str) -> DataFrame:
+    """A report of a few groups in order, nulls last.
+
+    Months, severities and scores are few in any table, so their rows are gathered and
+    sorted in one task instead of being sampled and split into ranges.
+    """
+    return groups.repartition(1).sortWithinPartitions(*[F.asc_nulls_last(c) for c in columns])
+
+
 def score_and_components(score: DataFrame, month: Month | None = None) -> DataFrame:
     """RPT1: monthly score and its components."""
     return (
@@ -146,19 +160,17 @@ def trends(orders: DataFrame, month: Month | None = None) -> DataFrame:
     """RPT7: orders and mean review score per purchase month."""
     return (
         in_month(orders, PURCHASE, month)
-        .groupBy(month_start(F.col(PURCHASE)).alias(PURCHASE))
+        .groupBy(_purchase_month(orders).alias(PURCHASE))
         .agg(_count().alias("count"), F.avg("review_score").alias("avg"))
     )
 
 
 def severity_by_month(orders: DataFrame, month: Month | None = None) -> DataFrame:
     """RPT8: orders per purchase month and severity."""
-    return (
-        in_month(orders, PURCHASE, month)
-        .groupBy(month_start(F.col(PURCHASE)).alias("month"), "delivery_severity")
-        .agg(_count().alias("order_count"))
-        .orderBy(F.asc_nulls_last("month"))
+    groups = in_month(orders, PURCHASE, month).groupBy(
+        _purchase_month(orders).alias("month"), "delivery_severity"
     )
+    return _sorted(groups.agg(_count().alias("order_count")), "month")
 
 
 def slowest_sellers(
@@ -188,16 +200,13 @@ def slowest_sellers(
 
 def cost_by_month(orders: DataFrame, month: Month | None = None) -> DataFrame:
     """RPT10: freight ratio and freight per purchase month."""
-    return (
-        in_month(orders, PURCHASE, month)
-        .groupBy(month_start(F.col(PURCHASE)).alias("month"))
-        .agg(
-            F.avg("freight_ratio").alias("avg_freight_ratio"),
-            F.avg("total_freight_value").alias("avg_freight_value"),
-            F.sum("total_freight_value").alias("sum_freight_value"),
-        )
-        .orderBy(F.asc_nulls_last("month"))
+    groups = in_month(orders, PURCHASE, month).groupBy(_purchase_month(orders).alias("month"))
+    costs = groups.agg(
+        F.avg("freight_ratio").alias("avg_freight_ratio"),
+        F.avg("total_freight_value").alias("avg_freight_value"),
+        F.sum("total_freight_value").alias("sum_freight_value"),
     )
+    return _sorted(costs, "month")
 
 
 def severity_by_place(
@@ -214,17 +223,13 @@ def severity_by_place(
 
 def review_by_severity(orders: DataFrame, month: Month | None = None) -> DataFrame:
     """RPT12: orders per review score and severity."""
-    return (
-        in_month(orders, PURCHASE, month)
-        .groupBy("review_score", "delivery_severity")
-        .agg(_count().alias("order_count"))
-        .orderBy(F.asc_nulls_last("review_score"), F.asc_nulls_last("delivery_severity"))
-    )
+    groups = in_month(orders, PURCHASE, month).groupBy("review_score", "delivery_severity")
+    return _sorted(groups.agg(_count().alias("order_count")), "review_score", "delivery_severity")
 
 
 def cost_by_severity(orders: DataFrame, month: Month | None = None) -> DataFrame:
     """RPT13: freight, delay and orders per severity."""
-    return (
+    costs = (
         in_month(orders, PURCHASE, month)
         .groupBy("delivery_severity")
         .agg(
@@ -233,8 +238,8 @@ def cost_by_severity(orders: DataFrame, month: Month | None = None) -> DataFrame
             F.avg("delay_days").alias("avg_delay_days"),
             _count().alias("order_count"),
         )
-        .orderBy(F.asc_nulls_last("delivery_severity"))
     )
+    return _sorted(costs, "delivery_severity")
 
 
 def seller_drill_down(items: DataFrame, orders: DataFrame, seller_id: str | None) -> DataFrame:

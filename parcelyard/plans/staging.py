@@ -17,26 +17,26 @@ from parcelyard.lazy import LazyTables
 from parcelyard.operators.pick import first_per_key
 
 
-def stg_customers(raw: DataFrame) -> DataFrame:
+def stg_customers(raw: DataFrame, ascii_only: bool = False) -> DataFrame:
     return raw.select(
         "customer_id",
         "customer_unique_id",
         "customer_zip_code_prefix",
-        clean_text(F.col("customer_city")).alias("customer_city"),
-        clean_text(F.col("customer_state")).alias("customer_state"),
+        clean_text(F.col("customer_city"), ascii_only).alias("customer_city"),
+        clean_text(F.col("customer_state"), ascii_only).alias("customer_state"),
     )
 
 
-def stg_sellers(raw: DataFrame) -> DataFrame:
+def stg_sellers(raw: DataFrame, ascii_only: bool = False) -> DataFrame:
     return raw.select(
         "seller_id",
         "seller_zip_code_prefix",
-        clean_text(F.col("seller_city")).alias("seller_city"),
-        clean_text(F.col("seller_state")).alias("seller_state"),
+        clean_text(F.col("seller_city"), ascii_only).alias("seller_city"),
+        clean_text(F.col("seller_state"), ascii_only).alias("seller_state"),
     )
 
 
-def stg_orders(raw: DataFrame) -> DataFrame:
+def stg_orders(raw: DataFrame, ascii_only: bool = False) -> DataFrame:
     times = [
         "order_purchase_timestamp",
         "order_approved_at",
@@ -47,7 +47,7 @@ def stg_orders(raw: DataFrame) -> DataFrame:
     return raw.select(
         "order_id",
         "customer_id",
-        clean_text(F.col("order_status")).alias("order_status"),
+        clean_text(F.col("order_status"), ascii_only).alias("order_status"),
         *[to_second(F.col(c)).alias(c) for c in times],
     )
 
@@ -64,23 +64,23 @@ def stg_order_items(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_order_payments(raw: DataFrame) -> DataFrame:
+def stg_order_payments(raw: DataFrame, ascii_only: bool = False) -> DataFrame:
     return raw.select(
         "order_id",
         to_uint8(F.col("payment_sequential")).alias("payment_sequential"),
-        clean_text(F.col("payment_type")).alias("payment_type"),
+        clean_text(F.col("payment_type"), ascii_only).alias("payment_type"),
         to_uint8(F.col("payment_installments")).alias("payment_installments"),
         to_double(F.col("payment_value")).alias("payment_value"),
     )
 
 
-def parse_reviews(raw: DataFrame) -> DataFrame:
+def parse_reviews(raw: DataFrame, ascii_only: bool = False) -> DataFrame:
     return raw.select(
         "order_id",
         "review_id",
         to_uint8(F.col("review_score")).alias("review_score"),
-        clean_text(F.col("review_comment_title")).alias("review_comment_title"),
-        clean_text(F.col("review_comment_message")).alias("review_comment_message"),
+        clean_text(F.col("review_comment_title"), ascii_only).alias("review_comment_title"),
+        clean_text(F.col("review_comment_message"), ascii_only).alias("review_comment_message"),
         to_second(F.col("review_creation_date")).alias("review_creation_date"),
         to_second(F.col("review_answer_timestamp")).alias("review_answer_timestamp"),
     )
@@ -99,17 +99,17 @@ def latest_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
-def stg_order_reviews(raw: DataFrame) -> DataFrame:
-    return latest_reviews(parse_reviews(raw))
+def stg_order_reviews(raw: DataFrame, ascii_only: bool = False) -> DataFrame:
+    return latest_reviews(parse_reviews(raw, ascii_only))
 
 
-def parse_geolocation(raw: DataFrame) -> DataFrame:
+def parse_geolocation(raw: DataFrame, ascii_only: bool = False) -> DataFrame:
     return raw.filter(F.trim("geolocation_zip_code_prefix") != "").select(
         F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"),
         to_double(F.col("geolocation_lat")).alias("lat"),
         to_double(F.col("geolocation_lng")).alias("lng"),
-        clean_text(F.col("geolocation_city")).alias("city"),
-        clean_text(F.col("geolocation_state")).alias("state"),
+        clean_text(F.col("geolocation_city"), ascii_only).alias("city"),
+        clean_text(F.col("geolocation_state"), ascii_only).alias("state"),
     )
 
 
@@ -141,8 +141,8 @@ def locate_prefixes(points: DataFrame) -> DataFrame:
     )
 
 
-def stg_geolocation(raw: DataFrame) -> DataFrame:
-    return locate_prefixes(parse_geolocation(raw))
+def stg_geolocation(raw: DataFrame, ascii_only: bool = False) -> DataFrame:
+    return locate_prefixes(parse_geolocation(raw, ascii_only))
 
 
 def stg_product_category_translation(raw: DataFrame) -> DataFrame:
@@ -181,22 +181,22 @@ def stg_products(raw: DataFrame, translation: DataFrame) -> DataFrame:
     return translate_products(parse_products(raw), translation)
 
 
-def stage(raw: Mapping[str, DataFrame]) -> LazyTables:
-    """All staging tables from the raw tables."""
+def stage(raw: Mapping[str, DataFrame], ascii_only: bool = False) -> LazyTables:
+    """All staging tables from the raw tables; ``ascii_only`` leaves accented capitals alone."""
 
     def translation() -> DataFrame:
         return stg_product_category_translation(raw["product_category_name_translation"])
 
     return LazyTables(
         {
-            "stg_customers": lambda: stg_customers(raw["customers"]),
-            "stg_geolocation": lambda: stg_geolocation(raw["geolocation"]),
+            "stg_customers": lambda: stg_customers(raw["customers"], ascii_only),
+            "stg_geolocation": lambda: stg_geolocation(raw["geolocation"], ascii_only),
             "stg_order_items": lambda: stg_order_items(raw["order_items"]),
-            "stg_order_payments": lambda: stg_order_payments(raw["order_payments"]),
-            "stg_order_reviews": lambda: stg_order_reviews(raw["order_reviews"]),
-            "stg_orders": lambda: stg_orders(raw["orders"]),
+            "stg_order_payments": lambda: stg_order_payments(raw["order_payments"], ascii_only),
+            "stg_order_reviews": lambda: stg_order_reviews(raw["order_reviews"], ascii_only),
+            "stg_orders": lambda: stg_orders(raw["orders"], ascii_only),
             "stg_product_category_translation": translation,
             "stg_products": lambda: stg_products(raw["products"], translation()),
-            "stg_sellers": lambda: stg_sellers(raw["sellers"]),
+            "stg_sellers": lambda: stg_sellers(raw["sellers"], ascii_only),
         }
     )

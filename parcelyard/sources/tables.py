@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelyard.functions.metrics import month_start
-from parcelyard.plans import orders, quality, score, sellers
+from parcelyard.plans import checks, orders, quality, score, sellers
 from parcelyard.plans.models import INTERMEDIATE, MARTS, STAGING, Models
 
 MONTH = "order_month"
@@ -107,3 +107,51 @@ def read_marts(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
         else spark.read.parquet(f"{directory}/{name}")
         for name in MARTS
     }
+
+
+class ChecksFailed(Exception):
+    """Checks of level ``error`` found violations; the tables built stay unpublished."""
+
+
+class BuiltTables:
+    """Stored marts under their names, every other table from the models and raw tables."""
+
+    def __init__(self, stored: dict[str, DataFrame], others):
+        self._stored, self._others = stored, others
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._stored:
+            return self._others[name]
+        df = self._stored[name]
+        return df.drop(MONTH) if name == "fct_orders" else df
+
+
+def build_and_check(models: Models, raw, directory: str) -> DataFrame:
+    """Store all tables in a new version folder, check them, and publish the version.
+
+    Staging and intermediate tables are stored beside the marts, so that a check reads
+    tables and derives none again. The findings are returned and kept in the version
+    folder. If a check of level ``error`` finds anything, nothing is published and
+    readers go on with the version before. Publishing is one appended row, which a
+    reader sees wholly or not at all.
+    """
+    version = f"{directory}/version-{uuid.uuid4().hex}"
+    stored = {name: _store(models[name], f"{version}/{name}") for name in STAGING + INTERMEDIATE}
+    stored |= write_marts(Models({n: stored[n] for n in STAGING}, models.calendar), version)
+    tables = checks.WithRaw(BuiltTables(stored, models), raw)
+    findings = _store(checks.run_checks(tables), f"{version}/_findings")
+    broken = findings.filter("level = 'error' AND violations > 0")
+    names = [f"{r['check']} {r['target']}: {r['violations']}" for r in broken.limit(20).collect()]
+    if names:
+        raise ChecksFailed("; ".join(names))
+    publish = findings.sparkSession.range(1).select(
+        F.lit(version).alias("version"), F.current_timestamp().alias("published")
+    )
+    publish.write.mode("append").parquet(f"{directory}/versions")
+    return findings
+
+
+def read_published(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+    """Marts of the latest published version."""
+    versions = spark.read.parquet(f"{directory}/versions")
+    return read_marts(spark, versions.agg(F.max_by("version", "published")).first()[0])

@@ -13,15 +13,29 @@ from pyspark.sql import functions as F
 from parcelyard.lazy import LazyTables
 from parcelyard.plans import checks, insights, reports
 from parcelyard.plans.checks import WithRaw
-from parcelyard.plans.models import Models
+from parcelyard.plans.models import MARTS, Models
 from parcelyard.plans.staging import stage
 from parcelyard.sources import demo
 from parcelyard.sources.calendar import observed_range
 from parcelyard.sources.raw import raw_counts, read_raw_table, write_raw_csv
-from parcelyard.sources.tables import register_views, scratch_path, write_orders
+from parcelyard.sources.tables import (
+    build_and_check,
+    register_views,
+    scratch_path,
+    write_marts,
+    write_orders,
+)
 from parcelyard.streaming.intake import load_new_files
 from queryset import planted
-from queryset.duckdb_sql import CONSTRAINTS, nudge, rounded, with_tables
+from queryset.dirty import dirty
+from queryset.duckdb_sql import (
+    CONSTRAINTS,
+    GENERIC_TARGETS,
+    SINGULAR_ERRORS,
+    nudge,
+    rounded,
+    with_tables,
+)
 
 ORDER_DATES = (
     "order_purchase_timestamp",
@@ -35,6 +49,9 @@ STATES = ["asia", "europe"]
 SELLERS = ["3", "7"]
 
 
+_STORED_MARTS: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 class Inputs:
     """The tables of one scale folder, built as a query asks for them."""
 
@@ -51,7 +68,11 @@ class Inputs:
 
     @cached_property
     def parsed(self) -> LazyTables:
-        return stage(self.raw)
+        return stage(self.dirty)
+
+    @cached_property
+    def dirty(self) -> LazyTables:
+        return LazyTables({t: lambda t=t: dirty(t, self.raw[t]) for t in self.raw})
 
     @cached_property
     def models(self) -> Models:
@@ -63,6 +84,14 @@ class Inputs:
     def everything(self) -> WithRaw:
         return WithRaw(self.models, self.raw)
 
+    @cached_property
+    def marts(self) -> dict[str, DataFrame]:
+        """Stored marts; one session stores those of a folder once for all queries."""
+        key = (self.spark.sparkContext.applicationId, self.directory)
+        if key not in _STORED_MARTS:
+            _STORED_MARTS[key] = write_marts(self.models, self.scratch())
+        return _STORED_MARTS[key]
+
     def scratch(self) -> str:
         """A fresh shared folder; one is set only where the session names none."""
         if not self.spark.conf.get("spark.checkpoint.dir", None):
@@ -123,31 +152,65 @@ def _table(name: str, table: str, digits=None) -> None:
 
 
 def _parsed(name: str, table: str, digits=None) -> None:
-    _add(name, lambda i: i.parsed[table], f"SELECT * FROM {table}", digits)
+    _add(name, lambda i: i.parsed[table], f"SELECT * FROM clean_{table}", digits)
 
 
 # --- sources and sinks ---------------------------------------------------------
 
 
-def _reviews_through_csv(i: Inputs) -> DataFrame:
+def _through_csv(i: Inputs, table: str) -> DataFrame:
+    """The staging table of what comes back from CSV files of all tables it needs."""
+    needed = [table, "product_category_name_translation"] if table == "products" else [table]
     folder = i.scratch()
-    write_raw_csv({"order_reviews": i.raw["order_reviews"]}, folder)
-    return read_raw_table(i.spark, f"{folder}/order_reviews", "order_reviews")
+    write_raw_csv({t: i.raw[t] for t in needed}, folder)
+    loaded = {t: read_raw_table(i.spark, f"{folder}/{t}", t) for t in needed}
+    name = "product_category_translation" if table.startswith("product_category") else table
+    return stage(LazyTables({t: lambda t=t: loaded[t] for t in needed}))[f"stg_{name}"]
+
+
+def _with_other_header(i: Inputs) -> DataFrame:
+    """Whether the loader takes files with the right and with a wrong header."""
+    outcomes = []
+    for case, renamed in (("as declared", {}), ("renamed", {"seller_city": "city"})):
+        folder = i.scratch()
+        i.raw["sellers"].withColumnsRenamed(renamed).write.option("header", "true").csv(folder)
+        try:
+            loaded = read_raw_table(i.spark, folder, "sellers")
+            rows = loaded.agg(F.count("seller_city")).first()[0]  # reads the column, so checks it
+            outcomes.append((case, True, rows))
+        except Exception as error:  # noqa: BLE001  any failure to read counts as a refusal
+            if "header" not in str(error).lower():
+                raise
+            outcomes.append((case, False, 0))
+    return i.spark.createDataFrame(outcomes, "header string, accepted boolean, row_count long")
+
+
+def _with_byte_order_mark(i: Inputs) -> DataFrame:
+    folder = i.scratch()
+    marked = i.raw["sellers"].withColumnRenamed("seller_id", "\ufeffseller_id")
+    marked.write.option("header", "true").csv(folder)
+    return read_raw_table(i.spark, folder, "sellers")
 
 
 _add(
-    "src1_csv_load",
-    _reviews_through_csv,
-    """SELECT review_id, order_id, CAST(review_score AS VARCHAR) AS review_score,
-              review_comment_title, review_comment_message,
-              strftime(review_creation_date, '%Y-%m-%d %H:%M:%S') AS review_creation_date,
-              strftime(review_answer_timestamp, '%Y-%m-%d %H:%M:%S') AS review_answer_timestamp
-       FROM src_order_reviews""",
+    "src2_header_check",
+    _with_other_header,
+    """SELECT 'as declared' AS header, true AS accepted, count(*) AS row_count FROM src_sellers
+       UNION ALL SELECT 'renamed', false, 0""",
 )
+_add("src3_byte_order_mark", _with_byte_order_mark, "SELECT * FROM src_sellers")
 _RAW_NAMES = (
     "customers geolocation order_items order_payments order_reviews orders products sellers "
     "product_category_name_translation"
 ).split()
+for _raw_name in _RAW_NAMES:
+    _stg = _raw_name.replace("category_name_translation", "category_translation")
+    _add(
+        f"src1_csv_{_raw_name}",
+        lambda i, t=_raw_name: _through_csv(i, t),
+        f"SELECT * FROM stg_{_stg}",
+        _PLACE if _raw_name == "geolocation" else None,
+    )
 _add(
     "src4_raw_counts",
     lambda i: raw_counts(i.raw),
@@ -157,23 +220,20 @@ _add(
 )
 
 
-def _orders_loaded_twice(i: Inputs) -> DataFrame:
+def _loaded_twice(i: Inputs) -> DataFrame:
+    """Rows of every table after its files were loaded twice."""
     folder = i.scratch()
-    write_raw_csv({"orders": i.raw["orders"]}, f"{folder}/inbox")
-    for _ in range(2):
-        loaded = load_new_files(
-            i.spark, f"{folder}/inbox/orders", "orders", f"{folder}/orders", f"{folder}/progress"
-        )
-    return loaded
+    write_raw_csv(i.raw, f"{folder}/inbox")
+    loaded = {}
+    for table in _RAW_NAMES:
+        for _ in range(2):
+            loaded[table] = load_new_files(
+                i.spark, f"{folder}/inbox/{table}", table, f"{folder}/{table}", f"{folder}/progress/{table}"
+            )
+    return raw_counts(loaded)
 
 
-_add(
-    "src5_repeated_load",
-    _orders_loaded_twice,
-    "SELECT order_id, customer_id, order_status, "
-    + ", ".join(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in ORDER_DATES)
-    + " FROM src_orders",
-)
+_add("src5_repeated_load", _loaded_twice, QUERIES["src4_raw_counts"].sql)
 
 
 def _severity_through_view(i: Inputs) -> DataFrame:
@@ -191,6 +251,35 @@ _add(
        FROM fct_orders GROUP BY delivery_severity""",
     _digits(rates="avg_delay_days"),
 )
+def _findings(i: Inputs) -> DataFrame:
+    """Violations per check over stored tables of which the repeated item numbers are made unique."""
+    items = i.staged["stg_order_items"].dropDuplicates(["order_id", "order_item_id"])
+    staged = LazyTables({t: lambda t=t: items if t == "stg_order_items" else i.staged[t] for t in i.staged})
+    raw = LazyTables(
+        {
+            t: lambda t=t: i.raw[t].dropDuplicates(["order_id", "order_item_id"])
+            if t == "order_items" else i.raw[t]
+            for t in i.raw
+        }
+    )
+    models = Models(staged, lambda: observed_range(staged["stg_orders"], *ORDER_DATES))
+    found = build_and_check(models, raw, i.scratch())
+    return found.groupBy("check", "level").agg(
+        F.count(F.lit(1)).alias("targets"), F.sum("violations").alias("violations")
+    )
+
+
+_add(
+    "snk3_build_and_check",
+    _findings,
+    f"""SELECT * REPLACE (CAST(violations AS BIGINT) AS violations) FROM (
+          VALUES {", ".join(f"('{c}', 'error', {n}, 0)" for c, n in GENERIC_TARGETS.items())},
+                 {", ".join(f"('{c}', 'error', 1, 0)" for c in SINGULAR_ERRORS)}
+        ) t("check", level, targets, violations)
+        UNION ALL
+        SELECT 'impossible_dates', 'warn', 1, count(*) FROM int_order_delivery_metrics
+        WHERE order_delivered_customer_date < order_purchase_timestamp""",
+)
 _add(
     "snk2_stored_orders",
     lambda i: write_orders(i.models.fct_orders, f"{i.scratch()}/fct_orders"),
@@ -199,6 +288,23 @@ _add(
     _FREIGHT,
 )
 
+_MART_DIGITS = {
+    "dim_location": _PLACE,
+    "fct_orders": _FREIGHT,
+    "mart_data_quality": _QUALITY,
+    "mart_logistics_performance_score": _SCORE,
+    "mart_seller_freight": _FREIGHT,
+    "mart_seller_performance": _SELLER,
+}
+for _mart in MARTS:
+    if _mart != "fct_orders":
+        _add(
+            f"snk2_stored_{_mart}",
+            lambda i, m=_mart: i.marts[m],
+            f"SELECT * FROM {_mart}",
+            _MART_DIGITS.get(_mart),
+        )
+
 # --- staging, from the all-string tables ---------------------------------------
 
 _parsed("stg1_customers", "stg_customers")
@@ -211,6 +317,19 @@ _parsed("stg7_product_category_translation", "stg_product_category_translation")
 _parsed("stg8_products", "stg_products")
 _parsed("stg9_sellers", "stg_sellers")
 
+
+
+def _accented(i: Inputs) -> DataFrame:
+    raw = i.raw["customers"].withColumn("customer_city", F.expr("upper(customer_city) || ' ÉÑ'"))
+    return stage(LazyTables({"customers": lambda: raw}), ascii_only=True)["stg_customers"]
+
+
+_add(
+    "stg1_customers_ascii",
+    _accented,
+    "SELECT * REPLACE (customer_city || ' ÉÑ' AS customer_city) FROM stg_customers",
+)
+
 # --- intermediate --------------------------------------------------------------
 
 _table("int1_order_delivery_metrics", "int_order_delivery_metrics")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from queryset.dirty import cleaned_sql
+
 
 # The declared constraints, stated here a second time so that a wrong list
 # in the library cannot pass.
@@ -132,6 +134,24 @@ RANGES = {
 }
 
 
+# Targets of each declared check, and the reconciliations that must hold.
+GENERIC_TARGETS = {
+    "not_null": 54,
+    "unique": 25,
+    "accepted_values": 7,
+    "relationships": 6,
+    "accepted_range": 19,
+    "unique_combination": 7,
+    "equal_rowcount": 2,
+}
+SINGULAR_ERRORS = (
+    "calendar_gaps item_fact_differences experience_orphans invalid_review_scores "
+    "experience_rowcount delivery_rowcount inconsistent_severity negative_freight_ratio "
+    "freight_rowcount freight_sums seller_ratio_expression seller_sums on_time_rate_range "
+    "order_volume_positive seller_grain_differences"
+).split()
+
+
 def _columns(lines: str) -> dict[str, list[str]]:
     pairs = (line.split(": ") for line in lines.strip().splitlines())
     return {table: names.split(", ") for table, names in pairs}
@@ -440,6 +460,23 @@ TABLES: dict[str, str] = {
 }
 
 
+# Staging tables of dirty sources, by the same SQL as those of clean ones.
+_CLEAN_NAMES = {"product_category_name_translation": "product_category_translation"}
+_STAGED = (
+    "customers sellers orders order_items order_payments product_category_name_translation "
+    "products order_reviews geolocation"
+).split()
+for _table in _STAGED:
+    TABLES[f"clean_src_{_table}"] = cleaned_sql(_table)
+_FROM_SOURCE = re.compile(r"\b(src_\w+)\b")
+TABLES["clean_prefix_places"] = _FROM_SOURCE.sub(r"clean_\1", TABLES["prefix_places"])
+for _table in _STAGED:
+    _stg = f"stg_{_CLEAN_NAMES.get(_table, _table)}"
+    TABLES[f"clean_{_stg}"] = _FROM_SOURCE.sub(r"clean_\1", TABLES[_stg]).replace(
+        "prefix_places", "clean_prefix_places"
+    )
+
+
 def with_tables(body: str, more: dict[str, str] | None = None) -> str:
     """``body`` preceded by the tables it names, directly or through others, and by ``more``."""
     needed: set[str] = set()
