@@ -153,3 +153,27 @@ def test_unknown_table(models):
     with pytest.raises(KeyError):
         models["nope"]
     assert models["fct_orders"].filter(F.lit(False)).count() == 0
+
+
+def test_build_publishes_only_what_passes_its_checks(spark, small_dir, tmp_path):
+    from parcelyard.lazy import LazyTables
+    from parcelyard.plans.checks import SINGULAR
+    from parcelyard.sources.demo import staged_tables
+
+    staged, source = staged_tables(spark, small_dir), raw_tables(spark, small_dir)
+    folder = str(tmp_path / "shop")
+    days = lambda: observed_range(staged["stg_orders"], *[c for c in staged["stg_orders"].columns if c.endswith(("timestamp", "_at", "_date"))])
+    with pytest.raises(tables.ChecksFailed, match="unique_combination fct_order_items"):
+        tables.build_and_check(Models(staged, days), source, folder)
+    assert not (tmp_path / "shop" / "versions").exists()
+
+    keys = ["order_id", "order_item_id"]
+    items = staged["stg_order_items"].dropDuplicates(keys)
+    fixed = LazyTables({t: lambda t=t: items if t == "stg_order_items" else staged[t] for t in staged})
+    raw_items = source["order_items"].dropDuplicates(keys)
+    fixed_raw = LazyTables({t: lambda t=t: raw_items if t == "order_items" else source[t] for t in source})
+    found = tables.build_and_check(Models(fixed, days), fixed_raw, folder).collect()
+    assert {r.check for r in found if r.violations} == {"impossible_dates"}
+    assert len({r.check for r in found}) == 7 + len(SINGULAR)
+    published = tables.read_published(spark, folder)
+    assert set(published) == set(MARTS) and published["fct_orders"].count() == 1500
