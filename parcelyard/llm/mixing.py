@@ -145,17 +145,18 @@ def posteriors(df: DataFrame, weights: np.ndarray, key: str = "doc_id", text: st
 
 
 def fit_rates(
-    members: DataFrame, targets: Sequence[float], most_rounds: int = 40, tolerance: float = 1e-4, most_rate: float | None = 4.0
+    members: DataFrame, targets: Sequence[float], most_rounds: int = 40, tolerance: float = 1e-3, most_rate: float | None = 4.0
 ) -> tuple[DataFrame, list[float], list[float]]:
     """``members`` with a ``rate``, the domain totals reached, and the targets as totals.
 
     ``targets`` are shares of all tokens. Minimizes the squared distance between the
     expected totals ``sum(rate * n_tokens * posterior)`` and the targets, each domain
     scaled by the inverse of the documents' Gram matrix, over rates from 0 to
-    ``most_rate`` (None: no upper bound), starting from rate 1. Every round is one
-    aggregate over the stored documents; a document's rate follows from the residuals
-    of the rounds before, which are a few numbers each. Stops once no domain misses its
-    target by more than ``tolerance`` of all tokens.
+    ``most_rate`` (None: no upper bound), starting from rate 1, by projected gradient
+    steps with momentum. Every round is one aggregate over the stored documents; a
+    document's rate follows from the residuals of the rounds before, which are a few
+    numbers each. Stops once no domain misses its target by more than ``tolerance`` of
+    all tokens.
     """
     k = len(targets)
     a = [F.col("n_tokens") * F.get(F.col("posterior"), F.lit(i)) for i in range(k)]
@@ -169,22 +170,36 @@ def fit_rates(
     if not total.sum():
         return members.withColumn("rate", F.lit(1.0)), total.tolist(), aim.tolist()
     inverse = np.linalg.pinv(gram + 1e-9 * np.trace(gram) / k * np.eye(k))
-    reached, pulls = total, []
-    rated = members.withColumn("rate", F.lit(1.0))
-    for _ in range(most_rounds):
+    high = F.lit(float(most_rate if most_rate is not None else "inf"))
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+    kind = "array<struct<pull: array<double>, speed: double>>"
+
+    def step(state: Column, s: Column) -> Column:
+        move = sum((a[i] * F.get(s["pull"], F.lit(i)) for i in range(k)), F.lit(0.0))
+        rate = F.least(high, F.greatest(F.lit(0.0), state["ahead"] - move))
+        ahead = rate + s["speed"] * (rate - state["rate"])
+        return F.struct(rate.alias("rate"), ahead.alias("ahead"))
+
+    reached, ahead, steps = total, total, []
+    fitted = members.withColumn("_state", start)
+    for n in range(most_rounds):
         if np.abs(reached - aim).max() <= tolerance * total.sum():
             break
-        pulls.append(inverse @ (reached - aim))
-        steps = F.array(*[F.array(*[F.lit(float(x)) for x in p]) for p in pulls])
-        bounded = (lambda x: F.greatest(F.lit(0.0), x)) if most_rate is None else (
-            lambda x: F.least(F.lit(float(most_rate)), F.greatest(F.lit(0.0), x))
-        )
-        move = lambda p: sum((a[i] * F.get(p, F.lit(i)) for i in range(k)), F.lit(0.0))  # noqa: E731, B023
-        rated = members.withColumn(
-            "rate", F.aggregate(steps, F.lit(1.0), lambda r, p: bounded(r - move(p)))  # noqa: B023
+        steps.append(
+            F.struct(
+                F.array(*[F.lit(float(x)) for x in inverse @ (ahead - aim)]).alias("pull"),
+                F.lit(n / (n + 3)).alias("speed"),
+            )
         )
-        found = rated.agg(*[F.sum(F.col("rate") * a[i]).alias(f"t{i}") for i in range(k)]).first()
-        reached = np.array([found[f"t{i}"] for i in range(k)])
+        path = F.array(*steps).cast(kind)
+        fitted = members.withColumn("_state", F.aggregate(path, start, step))
+        found = fitted.agg(
+            *[F.sum(F.col("_state.rate") * a[i]).alias(f"r{i}") for i in range(k)],
+            *[F.sum(F.col("_state.ahead") * a[i]).alias(f"a{i}") for i in range(k)],
+        ).first()
+        reached = np.array([found[f"r{i}"] for i in range(k)])
+        ahead = np.array([found[f"a{i}"] for i in range(k)])
+    rated = fitted.withColumn("rate", F.col("_state.rate")).drop("_state")
     return rated, reached.tolist(), aim.tolist()
 
 
