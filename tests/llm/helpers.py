@@ -18,6 +18,7 @@ def odd_rows(seed=5):
     near = base.split()
     near[60] = "changed"
     shared = words(rng, 90)
+    twin = "ünï çödé " + words(rng, 60) + " 日本語"
     rows = [
         (0, base),
         (1, base),
@@ -33,8 +34,8 @@ def odd_rows(seed=5):
         (9, "\n".join(["the same line with some words in it again"] * 9 + [words(rng, 60)])),
         (10, words(rng, 80)),
         (10, words(rng, 80)),
-        (11, "ünï çödé " + words(rng, 60) + " 日本語"),
-        (11, "ünï çödé " + words(rng, 60) + " 日本語"),
+        (11, twin),
+        (11, twin),
     ]
     rows.append(rows[12])
     rows += [(100 + i, words(rng, 60 + i)) for i in range(20)]
