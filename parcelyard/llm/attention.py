@@ -112,7 +112,7 @@ def loss_and_gradient(weights: Weights, inputs: np.ndarray, targets: np.ndarray)
     return loss, g
 
 
-def train(weights: Weights, inputs: np.ndarray, targets: np.ndarray, batch: int = 64, rate: float = 0.01) -> Weights:
+def train(weights: Weights, inputs: np.ndarray, targets: np.ndarray, batch: int = 16, rate: float = 0.01) -> Weights:
     """One pass of Adam over the windows, in their order."""
     found = {n: w.copy() for n, w in weights.items()}
     mean = {n: np.zeros_like(w) for n, w in found.items()}
