@@ -30,7 +30,7 @@ LENGTH = 400
 ANCHOR = 64
 #: Windows of one anchor that are compared as a collection; the strings of anchors with
 #: more are counted by hash instead, so that no task has to hold them together.
-MOST_WINDOWS = 4096
+MOST_WINDOWS = 1 << 15
 #: Bytes of windows that are held as one collection.
 SPOOL_BYTES = 1 << 23
 
