@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelyard.llm import textarrays as ta
-from parcelyard.llm.narrowing import narrowed
+from parcelyard.llm.narrowing import narrowed, parted
 from parcelyard.llm.storage import carried, stored, text_or_empty
 
 LENGTH = 400
@@ -374,9 +374,11 @@ def cut_repeats(
         *others, text_or_empty(text).alias("_text"), F.xxhash64(text_or_empty(text)).alias("_own")
     )
     whole = F.coalesce("_twin", F.lit(False)) & (F.octet_length("_text") >= length)
-    joined = named.join(cuts, F.col("_own") == F.col("_version"), "left").select(
-        *others, "_text", "_runs", whole.alias("_whole")
+    touched, untouched = parted(named, cuts.select(F.col("_version").alias("_own")), "_own")
+    joined = touched.join(cuts, F.col("_own") == F.col("_version"), "left").unionByName(
+        untouched, allowMissingColumns=True
     )
+    joined = joined.select(*others, "_text", "_runs", whole.alias("_whole"))
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name in others]
     return joined.mapInArrow(
         _cut_batches,
