@@ -138,6 +138,13 @@ class Scorer:
         self.own = e @ weights["out"][WIDTH:] + weights["bias"]
         self.out = np.ascontiguousarray(weights["out"][:WIDTH])
         self.blocks = blocks
+        longest = lambda x, axis: float(np.linalg.norm(x, axis=axis).max())
+        query, key, value = self.tables
+        # what exp() can meet at most; shifting the values first is needed only beyond that
+        scores = longest(query, 1) * longest(key, 1) + float(weights["distance"].max())
+        self.tame_scores = scores < 80
+        logits = longest(value, 1) * longest(self.out, 0) + float(np.abs(self.own).max())
+        self.tame_logits = logits < 80
 
     def score(self, ids: np.ndarray, classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Log10 probability of each token's class given the tokens before it in its text.
@@ -166,14 +173,18 @@ class Scorer:
             seen = np.concatenate([inputs[r - 1], inputs[r]], 1)
             a = query[inputs[r]] @ key[seen].transpose(0, 2, 1)
             a += self.bias
-            a += np.where(seen == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
-            np.minimum(a, 60, out=a)
+            pad = seen == PAD
+            edge = np.flatnonzero(pad.any(1))
+            a[edge] += np.where(pad[edge], np.float32(-1e9), np.float32(0))[:, None, :]
+            if not self.tame_scores:
+                a -= a.max(2, keepdims=True)
             np.exp(a, out=a)
             attended = a @ value[seen]
             attended /= a.sum(2, keepdims=True)
             logits = attended.reshape(-1, WIDTH) @ self.out
             logits += self.own[inputs[r].ravel()]
-            logits -= logits.max(1, keepdims=True)
+            if not self.tame_logits:
+                logits -= logits.max(1, keepdims=True)
             chosen = logits[np.arange(len(logits)), target[r].ravel()]
             np.exp(logits, out=logits)
             out[r] = (chosen - np.log(logits.sum(1))).reshape(-1, BLOCK)

@@ -181,7 +181,7 @@ def _trained_batches(
 def _scored_batches(
     batches: Iterator[pa.RecordBatch], values: np.ndarray, classes: np.ndarray, shares: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    scorer = at.Scorer(at.shaped(values), 1024)
+    scorer = at.Scorer(at.shaped(values), 512)
     for batch in batches:
         rest = batch.drop_columns(["ids"])
         whole, sizes = _ids(batch.column("ids")) if batch.num_rows else (np.zeros(0), np.zeros(0, np.int64))
