@@ -254,13 +254,13 @@ def similar_documents(
     tolerance: float = TOLERANCE,
     block: int = BLOCK,
 ) -> DataFrame:
-    """(doc, version, node, class_id, n_links, n_copies), one row for each row of ``df``.
+    """(doc, version, node, owner, class_id, n_links, n_copies), one row for each row of ``df``.
 
     ``version`` is the hash of the text, ``node`` that of its word sequence. Texts of
     equal word sequence are copies of each other (``n_copies`` rows, itself included)
     and compared as one; ``n_links`` counts the other, different texts of the given
-    similarity. Documents connected by links have the same ``class_id``, the least key
-    among them. Null and empty texts are copies of each other without links; a text of
+    similarity. Documents connected by links have the same ``owner``, the least node
+    among them, and ``class_id``, the least key. Null and empty texts are copies of each other without links; a text of
     fewer than five words is one shingle. Null keys never name a class unless all are
     null. Repeated rows count as copies. Node and shingle hashes have 64 bits.
     """
@@ -310,7 +310,7 @@ def similar_documents(
     return (
         signed.select("doc", "version", "node")
         .join(named.join(classes, "owner"), "node")
-        .select("doc", "version", "node", "class_id", "n_links", "n_copies")
+        .select("doc", "version", "node", "owner", "class_id", "n_links", "n_copies")
     )
 
 
@@ -321,7 +321,7 @@ def one_per_class(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     also share the text, one.
     """
     found = similar_documents(df, key, text)
-    firsts = found.groupBy("class_id").agg(F.min(F.struct("doc", "version", "node")).alias("one"))
+    firsts = found.groupBy("owner").agg(F.min(F.struct("doc", "version", "node")).alias("one"))
     firsts = firsts.select(F.col("one.doc").alias("_doc"), F.col("one.version").alias("_version"))
     named = df.select(F.struct(*df.columns).alias("_row"), F.col(key).alias("_key"), _version(text).alias("_text"))
     kept = named.join(
