@@ -318,10 +318,11 @@ def one_per_class(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """The rows of ``df``, all columns untouched, that are the first of their class by key.
 
     Of rows with the same key, the one with the least text hash stays; of rows that
-    also share the text, one.
+    also share the text, one. Rows without a key come last.
     """
     found = similar_documents(df, key, text)
-    firsts = found.groupBy("owner").agg(F.min(F.struct("doc", "version", "node")).alias("one"))
+    order = F.struct(F.isnull("doc").alias("unnamed"), "doc", "version")
+    firsts = found.groupBy("owner").agg(F.min(order).alias("one"))
     firsts = firsts.select(F.col("one.doc").alias("_doc"), F.col("one.version").alias("_version"))
     named = df.select(F.struct(*df.columns).alias("_row"), F.col(key).alias("_key"), _version(text).alias("_text"))
     kept = named.join(
