@@ -20,16 +20,22 @@ def _marked(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return met.withColumn("_hit", hit).drop("_word", "_bits")
 
 
+def likely(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` may be in ``ids``, for an exact join to follow.
+
+    A bitmap of fixed size over the keys, broadcast as rows of 64 bits, filters ``df``
+    where it is read. With very many keys the bitmap fills up and filters less.
+    """
+    return _marked(df, ids, key).filter("_hit").drop("_hit")
+
+
 def narrowed(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows of ``df`` whose ``key`` is in ``ids``.
 
-    A bitmap of fixed size over the keys, broadcast as rows of 64 bits, filters ``df``
-    where it is read; the join after it is exact. With very many keys the bitmap fills
-    up and filters less, and the join does the work. The second join is an inner one, as
-    the optimizer would move a semi join below the first.
+    The join is an inner one with distinct keys, as the optimizer would move a semi join
+    below the bitmap.
     """
-    likely = _marked(df, ids, key).filter("_hit").drop("_hit")
-    return likely.join(ids.select(key).distinct(), key)
+    return likely(df, ids, key).join(ids.select(key).distinct(), key)
 
 
 def parted(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
