@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from parcelyard.llm import textarrays as ta
 from parcelyard.llm.components import components
-from parcelyard.llm.narrowing import narrowed
+from parcelyard.llm.narrowing import likely
 from parcelyard.llm.storage import stored, text_or_empty
 
 SHINGLE_WORDS = 5
@@ -278,7 +278,7 @@ def similar_documents(
     )
     blocks = stored(_blocks(members, block))
     wanted = blocks.select("node", "doc", "version").distinct()
-    texts = narrowed(source, wanted.select("version").distinct(), "version")
+    texts = likely(source, wanted, "version")
     texts = texts.join(
         wanted.withColumnsRenamed({"doc": "_doc", "version": "_version"}),
         F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version")),
