@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelyard.llm import textarrays as ta
-from parcelyard.llm.narrowing import narrowed, parted
+from parcelyard.llm.narrowing import likely, narrowed, parted
 from parcelyard.llm.storage import carried, stored, text_or_empty
 
 LENGTH = 400
@@ -274,7 +274,7 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _windows(source: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """The windows of the listed anchors, each distinct text once."""
     wanted = texts.select(F.col("version").alias("_version"), F.col("doc").alias("_doc"), "repeats")
-    near = narrowed(source, texts.select("version"), "version")
+    near = likely(source, texts, "version")
     met = near.join(
         wanted, (F.col("version") == F.col("_version")) & F.col("doc").eqNullSafe(F.col("_doc"))
     ).dropDuplicates(["version", "doc"])
