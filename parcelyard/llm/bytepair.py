@@ -78,7 +78,7 @@ def kept_encoder(model_json: str) -> Encoder:
 class Encoder:
     """Ids of texts; remembers the ids of words up to a bound."""
 
-    def __init__(self, model_json: str, most_words: int = 400_000):
+    def __init__(self, model_json: str, most_words: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -115,8 +115,9 @@ class Encoder:
         first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         starts = word_starts(points, self.classes, first)
         length = np.diff(starts, append=len(points))
-        place = np.arange(len(points)) - np.repeat(starts, length)
-        value = mixed(points.astype(np.uint64) + np.uint64(1)) * _ODD[place & 4095]
+        place = np.arange(len(points), dtype=np.int32) - np.repeat(starts.astype(np.int32), length)
+        value = mixed(points.astype(np.uint64) + np.uint64(1))
+        value *= _ODD[place & 4095]
         if length.max() > 4096:
             value = mixed(value + (place >> 12).astype(np.uint64))
         key = np.add.reduceat(value, starts) + length.astype(np.uint64)

@@ -64,7 +64,7 @@ def _piece_batches(
         texts = batch.column("text")
         rest = batch.drop_columns(["text"])
         _, offsets = ta.text_bytes(texts)
-        for a, b in ta.pieces(offsets, 2 * ta.PIECE_BYTES):
+        for a, b in ta.pieces(offsets, ta.PIECE_BYTES // 2):
             ids, counts = encoder.encode(texts.slice(a, b - a).to_pylist())
             ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
             counts = counts + 1
