@@ -78,14 +78,18 @@ def kept_encoder(model_json: str) -> Encoder:
 class Encoder:
     """Ids of texts; remembers the ids of words up to a bound."""
 
-    def __init__(self, model_json: str, most_words: int = 200_000):
+    def __init__(self, model_json: str, most_words: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model_json)
         self.classes = _classes()
         self.most_words = most_words
-        self.known: dict[int, np.ndarray] = {}
+        # sorted word hashes, and where each word's ids lie in ``flat``
+        self.keys = np.zeros(0, np.uint64)
+        self.begins = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int32)
+        self.flat = np.zeros(0, np.uint32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
@@ -123,23 +127,41 @@ class Encoder:
         key = np.add.reduceat(value, starts) + length.astype(np.uint64)
         del place, value, points
         distinct, sample, which = np.unique(key, return_index=True, return_inverse=True)
-        names = distinct.tolist()
-        new = [k for k, name in enumerate(names) if name not in self.known]
+        new = np.flatnonzero(~self._known(distinct))
         at, to = starts[sample[new]], (starts + length)[sample[new]]
-        found = self.tokenizer.encode_batch_fast(
-            [joined[a:b] for a, b in zip(at, to)], add_special_tokens=False
-        )
-        if len(self.known) + len(new) > self.most_words:
-            missing = set(new)
-            self.known = {n: self.known[n] for k, n in enumerate(names) if k not in missing}
-        for k, encoding in zip(new, found):
-            self.known[names[k]] = np.array(encoding.ids, np.uint32)
-        pieces = [self.known[name] for name in names]
-        sizes = np.array([len(p) for p in pieces])
-        flat = np.concatenate(pieces)
-        begins = np.cumsum(sizes) - sizes
-        n = sizes[which]
+        words = [joined[a:b] for a, b in zip(at, to)]
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        self._learn(distinct, new, [encoding.ids for encoding in found])
+        spot = np.searchsorted(self.keys, distinct)
+        begins, n = self.begins[spot][which], self.sizes[spot][which]
         ends = np.cumsum(n)
-        ids = flat[np.arange(ends[-1]) - np.repeat(ends - n - begins[which], n)]
+        ids = self.flat[np.arange(ends[-1]) - np.repeat(ends - n - begins, n)]
         per_text = np.add.reduceat(n, np.searchsorted(starts, first[:-1]))
         return ids, per_text
+
+    def _known(self, distinct: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(distinct), bool)
+        spot = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
+        return self.keys[spot] == distinct
+
+    def _learn(self, distinct: np.ndarray, new: np.ndarray, ids: list[list[int]]) -> None:
+        """Adds the ids of the words ``distinct[new]``; beyond the bound, only ``distinct`` stays."""
+        if len(self.keys) + len(new) > self.most_words:
+            spot = np.searchsorted(self.keys, np.delete(distinct, new))
+            size = self.sizes[spot]
+            ends = np.cumsum(size)
+            total = int(ends[-1]) if len(ends) else 0
+            places = np.arange(total) - np.repeat(ends - size - self.begins[spot], size)
+            self.flat = self.flat[places]
+            self.keys, self.begins, self.sizes = self.keys[spot], ends - size, size
+        if not len(new):
+            return
+        size = np.array([len(x) for x in ids], np.int32)
+        begin = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate([self.flat, np.array([i for x in ids for i in x], np.uint32)])
+        keys = np.concatenate([self.keys, distinct[new]])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.begins = np.concatenate([self.begins, begin])[order]
+        self.sizes = np.concatenate([self.sizes, size])[order]
