@@ -4,8 +4,8 @@ A worklist holds the layers of a text, at first the text itself. Every layer is
 for secrets and then unwrapped: percent and Unicode escapes give one decoded layer,
 every base64 run that decodes to text or to a compressed stream gives another. Each
 layer knows which characters of the original text each of its characters comes from.
-The list is done when no layer is new; layers seen before are skipped, which ends
-cycles.
+The list is done when no layer is new; a layer seen before at the same place is skipped,
+which ends cycles.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,14 @@ class Layer:
             return a, b
         return int(self.start[a:b].min()), int(self.end[a:b].max())
 
+    def key(self) -> tuple[str, bytes]:
+        """The text and a digest of where its characters come from."""
+        if self.start is None:
+            return self.text, b""
+        digest = blake2b(self.start.tobytes())
+        digest.update(self.end.tobytes())
+        return self.text, digest.digest()
+
     def edited(self, edits: list[tuple[int, int, str]], step: str) -> Layer:
         """The layer with each ``a:b`` replaced; what is new comes from all of ``a:b``."""
         n = len(self.text)
@@ -180,14 +189,15 @@ def scan(text: str) -> list[tuple[str, int, int, str]]:
     several paths lead to the same span, the first found stays.
     """
     spans: dict[tuple[str, int, int], str] = {}
-    todo, seen = deque([Layer(text, None, None, ())]), {text}
+    first = Layer(text, None, None, ())
+    todo, seen = deque([first]), {first.key()}
     while todo:
         layer = todo.popleft()
         for kind, a, b in found_in(layer.text):
             spans.setdefault((kind, *layer.origin(a, b)), ">".join(layer.path))
         for new in (_percent(layer), _unicode(layer), *_base64(layer)):
-            if new is not None and new.text not in seen:
-                seen.add(new.text)
+            if new is not None and (key := new.key()) not in seen:
+                seen.add(key)
                 todo.append(new)
     rows = [(*span, path) for span, path in spans.items()]
     return sorted(rows, key=lambda r: (r[1], KINDS.index(r[0]), r[2], r[3]))

@@ -72,6 +72,16 @@ def test_cycles_end():
     assert any(s[3].count("base64") == 12 for s in ss.scan("x " + nested))
 
 
+def test_a_wrapped_secret_is_found_at_every_place():
+    run = base64.b64encode(f"token={HEX}".encode()).decode()
+    quoted = "".join(f"%{ord(c):02x}" for c in run)
+    text = f"a: {run}\nb: {run}\nc: {quoted} end"
+    spans = {s[1:3] for s in ss.scan(text) if s[0] == "assign"}
+    first = text.index(run)
+    second = text.index(run, first + 1)
+    assert spans == {(first, first + len(run)), (second, second + len(run)), (text.index(quoted), text.index(" end"))}
+
+
 def test_odd_rows(spark):
     rows = helpers.odd_rows() + [(500, f"key {KEY} and token: {HEX}"), (501, "x " * 100_000 + KEY)]
     df = helpers.documents(spark, rows).withColumnsRenamed({"lang": "findings", "source": "kind"})
