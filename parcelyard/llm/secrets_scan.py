@@ -2,7 +2,8 @@
 
 A worklist holds the layers of a text, at first the text itself. Every layer is scanned
 for secrets and then unwrapped: percent and Unicode escapes give one decoded layer,
-every base64 run that decodes to text or to a compressed stream gives another. Each
+every base64 run, also one wrapped over lines, gives others: one for each alignment that
+decodes to enough text, and one for each compressed stream in it. Each
 layer knows which characters of the original text each of its characters comes from.
 The list is done when no layer is new; a layer seen before at the same place is skipped,
 which ends cycles.
@@ -11,7 +12,6 @@ which ends cycles.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import lzma
 import re
@@ -38,6 +38,14 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Runs that only line breaks part, with indents, quote and comment signs; and one of them.
+WRAPPED = re.compile(
+    r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>#*;]*[A-Za-z0-9+/_-]+)+={0,2}"
+)
+WRAPPED_LINE = re.compile(r"(?:^|\\n|[\s>#*;])([A-Za-z0-9+/_-]+={0,2})")
+#: No secret, plain or encoded, is shorter than "token=" and six characters.
+READABLE = re.compile(rb"[\x20-\x7e]{12}")
+STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd", re.DOTALL)
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(
     r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
@@ -98,7 +106,8 @@ class Layer:
 
     def inside(self, a: int, b: int, new: str, steps: tuple[str, ...]) -> Layer:
         first, last = self.origin(a, b)
-        return Layer(new, np.full(len(new), first), np.full(len(new), last), (*self.path, *steps))
+        start, end = (np.broadcast_to(np.int64(x), len(new)) for x in (first, last))
+        return Layer(new, start, end, (*self.path, *steps))
 
 
 def _percent(layer: Layer) -> Layer | None:
@@ -132,7 +141,7 @@ def _unicode(layer: Layer) -> Layer | None:
     return layer.edited(edits, "unicode") if edits else None
 
 
-def _unpacked(raw: bytes) -> tuple[str, bytes, bool] | None:
+def _unpacked_once(raw: bytes) -> tuple[str, bytes, bool] | None:
     """Step, content and whether it is whole, if ``raw`` is a compressed stream."""
     try:
         if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
@@ -155,31 +164,48 @@ def _unpacked(raw: bytes) -> tuple[str, bytes, bool] | None:
         return None
 
 
-def _readable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def _unpacked(raw: bytes) -> Iterator[tuple[tuple[str, ...], bytes]]:
+    """Steps and content of the compressed stream that ``raw`` begins with."""
+    steps, unpacked_once = [], {raw}
+    while (unpacked := _unpacked_once(raw)) and unpacked[1] not in unpacked_once:
+        step, raw, whole = unpacked
+        unpacked_once.add(raw)
+        steps.append(step if whole else f"{step} (cut)")
+    if steps:
+        yield tuple(steps), raw
+
+
+def _wrapped_runs(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and characters of base64 that is wrapped at one width.
+
+    A block may begin on a line of another width and ends with the first shorter line.
+    """
+    for m in WRAPPED.finditer(text):
+        lines = [x.span(1) for x in WRAPPED_LINE.finditer(m.group())]
+        size = [b - a for a, b in lines]
+        for i in range(len(lines) - 1):
+            if i and size[i] == size[i - 1]:
+                continue
+            last = i + 1
+            while last + 1 < len(lines) and size[last] == size[i + 1] >= size[last + 1] and size[last] >= 16:
+                last += 1
+            yield m.start() + lines[i][0], m.start() + lines[last][1], "".join(m.group()[a:b] for a, b in lines[i : last + 1])
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
-    for m in BASE64.finditer(layer.text):
-        run = m.group().rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4))
-        except binascii.Error:
-            continue
-        steps, unpacked_once = ["base64"], {raw}
-        while (unpacked := _unpacked(raw)) and unpacked[1] not in unpacked_once:
-            step, raw, whole = unpacked
-            unpacked_once.add(raw)
-            steps.append(step if whole else f"{step} (cut)")
-        text = _readable(raw)
-        if text:
-            yield layer.inside(m.start(), m.end(), text, tuple(steps))
+    runs = [(*m.span(), m.group()) for m in BASE64.finditer(layer.text)]
+    for a, b, chars in [*runs, *_wrapped_runs(layer.text)]:
+        run = chars.rstrip("=").replace("-", "+").replace("_", "/")
+        for shift in range(4):  # what touches the run may not belong to it
+            own = run[shift : len(run) - ((len(run) - shift) % 4 == 1)]
+            raw = base64.b64decode(own + "=" * (-len(own) % 4))
+            for m in STREAM.finditer(raw):
+                if m.start() % 3 == 0:
+                    start = a + (shift + m.start() // 3 * 4 if b - a == len(chars) else 0)
+                    for steps, content in _unpacked(raw[m.start() :]):
+                        yield layer.inside(start, b, content.decode(errors="replace"), ("base64", *steps))
+            if READABLE.search(raw):
+                yield layer.inside(a + shift, b, raw.decode(errors="replace"), ("base64",))
 
 
 def scan(text: str) -> list[tuple[str, int, int, str]]:

@@ -82,6 +82,25 @@ def test_a_wrapped_secret_is_found_at_every_place():
     assert spans == {(first, first + len(run)), (second, second + len(run)), (text.index(quoted), text.index(" end"))}
 
 
+def test_wrapped_runs_alignments_and_odd_characters():
+    rng = random.Random(4)
+    noise = "".join(rng.choices("abcdefghij klmnop\n", k=700))
+    secret = f"{noise} token={HEX} {noise}".encode()
+    b64 = lambda x: base64.b64encode(x).decode()
+    found = lambda text: {(s[0], s[3]) for s in ss.scan(text)}
+    for pack, path in ((bytes, "base64"), (gzip.compress, "base64>gzip"), (lzma.compress, "base64>xz")):
+        run = b64(pack(secret))
+        for width, glue in ((64, "\n"), (76, "\r\n"), (64, "\n    "), (76, "\n> "), (64, "\\n")):
+            block = glue.join(run[i : i + width] for i in range(0, len(run), width))
+            for text in (block, f"-----BEGIN CERTIFICATE-----{glue}{block}{glue}-----END CERTIFICATE-----", f'key: "{block}" end'):
+                assert ("hex", path) in found(text), (path, width, glue, text[:90])
+        for lead in ("path/", "id_", "a-", "abc", "x", "some/long_path/to/"):
+            for tail in ("", "/x", "_yz"):
+                assert ("hex", path) in found(f"see {lead}{run.rstrip('=')}{tail} end"), (path, lead, tail)
+    for odd in (b"\xff", "\u00a0\ufeff\u200d\u00ad\x0c\x00".encode()):
+        assert ("hex", "base64") in found(b64(odd + f" token={HEX} ".encode() + odd))
+
+
 def test_odd_rows(spark):
     rows = helpers.odd_rows() + [(500, f"key {KEY} and token: {HEX}"), (501, "x " * 100_000 + KEY)]
     df = helpers.documents(spark, rows).withColumnsRenamed({"lang": "findings", "source": "kind"})
