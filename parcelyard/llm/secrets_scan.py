@@ -13,15 +13,18 @@ from __future__ import annotations
 
 import base64
 import bz2
+import io
 import lzma
 import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,20 +43,23 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Runs that only line breaks part, with indents, quote and comment signs; and one of them.
 WRAPPED = re.compile(
-    r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>#*;]*[A-Za-z0-9+/_-]+)+={0,2}"
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+(?:\r?\n|(?:\\r)?\\n)[ \t>#*;]*+[A-Za-z0-9+/_-]++)+={0,2}"
 )
 WRAPPED_LINE = re.compile(r"(?:^|\\n|[\s>#*;])([A-Za-z0-9+/_-]+={0,2})")
 #: No secret, plain or encoded, is shorter than "token=" and six characters.
 READABLE = re.compile(rb"[\x20-\x7e]{12}")
-STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd", re.DOTALL)
+STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P)|\xfd7zXZ\x00|\x28\xb5\x2f\xfd", re.DOTALL)
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(
     r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
     r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});|[uU]\+([0-9A-Fa-f]{4,6})"
 )
-#: A decoded layer may be so many bytes long. What a stream holds beyond it is not
-#: unpacked, and the finding says so.
-MOST_BYTES = 1 << 26
+#: Bytes of unpacked content that are scanned at once, and what such parts share.
+PART_BYTES, OVERLAP = 1 << 26, 1 << 20
+#: Bytes of a stream that are handed to its library at once.
+FEED = 1 << 16
+#: The same for zstd, which returns all that it makes of them: 128 KiB for every four at most.
+ZSTD_FEED = 1 << 9
 
 
 def found_in(text: str) -> list[tuple[str, int, int]]:
@@ -141,38 +147,117 @@ def _unicode(layer: Layer) -> Layer | None:
     return layer.edited(edits, "unicode") if edits else None
 
 
-def _unpacked_once(raw: bytes) -> tuple[str, bytes, bool] | None:
-    """Step, content and whether it is whole, if ``raw`` is a compressed stream."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
-            unzip = zlib.decompressobj(47)
-            out = unzip.decompress(raw, MOST_BYTES)
-            return ("gzip" if raw[:1] == b"\x1f" else "zlib"), out, not unzip.unconsumed_tail
-        if raw[:3] == b"BZh":
-            unzip = bz2.BZ2Decompressor()
-        elif raw[:6] == b"\xfd7zXZ\x00":
-            unzip = lzma.LZMADecompressor()
-        elif raw[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-
-            return "zstd", zstandard.ZstdDecompressor().decompress(raw, MOST_BYTES), True
-        else:
-            return None
-        out = unzip.decompress(raw, MOST_BYTES)
-        return ("bz2" if raw[:1] == b"B" else "xz"), out, unzip.eof
-    except Exception:  # noqa: BLE001  every library has its own error for a broken stream
-        return None
+def _step(raw: bytes, at: int) -> str:
+    return {b"\x1f": "gzip", b"x": "zlib", b"B": "bz2", b"\xfd": "xz", b"\x28": "zstd"}[raw[at : at + 1]]
+
+
+def _zlib() -> object:
+    return zlib.decompressobj(47)
+
+
+def _zstd() -> object:
+    return zstandard.ZstdDecompressor().decompressobj()
 
 
-def _unpacked(raw: bytes) -> Iterator[tuple[tuple[str, ...], bytes]]:
-    """Steps and content of the compressed stream that ``raw`` begins with."""
-    steps, unpacked_once = [], {raw}
-    while (unpacked := _unpacked_once(raw)) and unpacked[1] not in unpacked_once:
-        step, raw, whole = unpacked
-        unpacked_once.add(raw)
-        steps.append(step if whole else f"{step} (cut)")
-    if steps:
-        yield tuple(steps), raw
+def _content(step: str, raw: bytes, at: int, reached: list[int]) -> Iterator[bytes]:
+    """Pieces of the stream that begins at ``at``, up to its end or to where it breaks.
+
+    ``reached`` gets the place after a stream that ends well.
+    """
+    unzip = {"bz2": bz2.BZ2Decompressor, "xz": lzma.LZMADecompressor, "zstd": _zstd}.get(step, _zlib)()
+    try:
+        while not unzip.eof:
+            if step in ("bz2", "xz"):
+                fed = raw[at : at + FEED] if unzip.needs_input else b""
+                piece = unzip.decompress(fed, FEED)
+                idle = unzip.needs_input
+            elif step == "zstd":
+                fed, idle = raw[at : at + ZSTD_FEED], True
+                piece = unzip.decompress(fed)
+            else:
+                held = unzip.unconsumed_tail
+                fed = b"" if held else raw[at : at + FEED]
+                piece = unzip.decompress(held or fed, FEED)
+                idle = not unzip.unconsumed_tail
+            at += len(fed)
+            if piece:
+                yield piece
+            if idle and not piece and at >= len(raw) and not unzip.eof:
+                return
+    except (zlib.error, lzma.LZMAError, zstandard.ZstdError, OSError, EOFError, ValueError):
+        return
+    reached.append(at - len(unzip.unused_data))
+
+
+def _members(raw: bytes, at: int, reached: list[int]) -> Iterator[tuple[str, Iterator[bytes]]]:
+    """Step and pieces of the stream at ``at``, and of those that follow it without a gap of text.
+
+    Members of one kind count as one stream, as its tools unpack them.
+    """
+    while True:
+        step = _step(raw, at)
+
+        def pieces(step: str = step, at: int = at) -> Iterator[bytes]:
+            while True:
+                done: list[int] = []
+                yield from _content(step, raw, at, done)
+                if not done:
+                    return
+                reached[:] = done
+                follower = STREAM.match(raw, _padding_end(raw, done[0]))
+                if follower is None or _step(raw, follower.start()) != step:
+                    return
+                at = follower.start()
+
+        before = reached[:]
+        yield step, pieces()
+        if reached == before:
+            return
+        follower = STREAM.match(raw, _padding_end(raw, reached[0]))
+        if follower is None:
+            return
+        at = follower.start()
+
+
+def _padding_end(raw: bytes, at: int) -> int:
+    while raw[at : at + 1] == b"\0":
+        at += 1
+    return at
+
+
+def _parts(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """The pieces joined to parts of ``PART_BYTES``, each with the end of the one before."""
+    held, size, lead = [], 0, 0
+    for piece in pieces:
+        held.append(piece)
+        size += len(piece)
+        if size >= PART_BYTES:
+            part = b"".join(held)
+            yield part
+            held = [part[-OVERLAP:]]
+            size = lead = len(held[0])
+    if size > lead:
+        yield b"".join(held)
+
+
+def _unpacked(
+    raw: bytes, at: int, reached: list[int], outer: tuple[bytes, ...] = ()
+) -> Iterator[tuple[tuple[str, ...], bytes]]:
+    """Steps and parts of the compressed streams from ``at`` on, those within them unpacked too."""
+    outer = (*outer, blake2b(memoryview(raw)[at:]).digest())
+    for step, pieces in _members(raw, at, reached):
+        parts = _parts(pieces)
+        first = next(parts, b"")
+        if not STREAM.match(first):
+            for part in chain([first] if first else [], parts):
+                yield (step,), part
+            continue
+        rest = list(parts)
+        whole = b"".join([first, *(part[OVERLAP:] for part in rest)])
+        yield (step,), whole
+        if blake2b(whole).digest() not in outer:
+            for steps, part in _unpacked(whole, 0, [], outer):
+                yield (step, *steps), part
 
 
 def _wrapped_runs(text: str) -> Iterator[tuple[int, int, str]]:
@@ -199,11 +284,15 @@ def _base64(layer: Layer) -> Iterator[Layer]:
         for shift in range(4):  # what touches the run may not belong to it
             own = run[shift : len(run) - ((len(run) - shift) % 4 == 1)]
             raw = base64.b64decode(own + "=" * (-len(own) % 4))
+            after = 0
             for m in STREAM.finditer(raw):
-                if m.start() % 3 == 0:
+                if m.start() % 3 == 0 and m.start() >= after:
                     start = a + (shift + m.start() // 3 * 4 if b - a == len(chars) else 0)
-                    for steps, content in _unpacked(raw[m.start() :]):
-                        yield layer.inside(start, b, content.decode(errors="replace"), ("base64", *steps))
+                    reached = []
+                    for steps, content in _unpacked(raw, m.start(), reached):
+                        if READABLE.search(content):
+                            yield layer.inside(start, b, content.decode(errors="replace"), ("base64", *steps))
+                    after = max([after, *reached])
             if READABLE.search(raw):
                 yield layer.inside(a + shift, b, raw.decode(errors="replace"), ("base64",))
 

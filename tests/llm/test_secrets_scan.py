@@ -7,6 +7,7 @@ import re
 import urllib.parse
 import zlib
 
+import zstandard
 from pyspark.sql import functions as F
 
 from parcelyard.llm import secrets_scan as ss
@@ -101,6 +102,30 @@ def test_wrapped_runs_alignments_and_odd_characters():
         assert ("hex", "base64") in found(b64(odd + f" token={HEX} ".encode() + odd))
 
 
+def test_streams_are_read_to_their_end(monkeypatch):
+    secret, other = f"token={HEX}".encode(), b"nothing to see in here " * 9
+    b64 = lambda x: base64.b64encode(x).decode()
+    found = lambda raw: {(s[0], s[3]) for s in ss.scan(b64(raw))}
+    zstd = zstandard.ZstdCompressor().compress
+    unsized = zstandard.ZstdCompressor(write_content_size=False).compress
+    packs = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "zstd": zstd}
+    for name, pack in [*packs.items(), ("zstd", unsized)]:
+        path = f"base64>{name}"
+        assert ("hex", path) in found(pack(other) + pack(secret)), name
+        assert ("hex", path) in found(pack(other) + pack(b"") + pack(secret) + b"trailing"), name
+        assert ("hex", path) in found(pack(secret + bytes(range(256)) * 400)[:-9]) or name != "gzip"
+        assert ("hex", f"{path}>{name}") in found(pack(pack(other) + pack(secret))), name
+    assert ("hex", "base64>xz") in found(gzip.compress(other) + lzma.compress(secret))
+    with monkeypatch.context() as m:
+        m.setattr(ss, "PART_BYTES", 1 << 17)
+        m.setattr(ss, "OVERLAP", 1 << 10)
+        for name, pack in packs.items():
+            for lead in (1 << 18, (1 << 17) - 20):
+                assert ("hex", f"base64>{name}") in found(pack("é".encode() * (lead // 2) + b" " + secret)), (name, lead)
+    big = b"\n" * ((1 << 26) + 5) + secret
+    assert ("hex", "base64>gzip") in found(gzip.compress(big, 1))
+
+
 def test_odd_rows(spark):
     rows = helpers.odd_rows() + [(500, f"key {KEY} and token: {HEX}"), (501, "x " * 100_000 + KEY)]
     df = helpers.documents(spark, rows).withColumnsRenamed({"lang": "findings", "source": "kind"})
