@@ -3,8 +3,8 @@
 The base score adds smoothed log probabilities of words, counted over all training
 texts. The model score is the log probability of a text's subword ids: a causal
 attention model gives the class of the next id, and the corpus counts of the ids give
-its share within the class. All training texts are counted, and each gives windows to
-the training of the attention weights.
+its share within the class. All training texts are counted, and the attention weights
+are trained on windows that cover each of them from start to end.
 """
 
 from __future__ import annotations
@@ -30,9 +30,9 @@ IDS = 50257
 END_ID = 50256
 #: The end token's name among the hashed words.
 END_WORD = np.uint64(0x9D5C0FB1A1F3E7C5)
-#: A training text gives one window for every so many of its ids, and one at least.
-WINDOW_EVERY = 4096
-PASSES = 2
+PASSES = 1
+#: Windows of a step of training, and ids that are made into windows at once.
+STEP_WINDOWS, WINDOW_IDS = 64, 1 << 19
 
 
 def held_out(key: str) -> Column:
@@ -122,54 +122,39 @@ def _id_count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["id", "n"])
 
 
-def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids and seed of each text to the training windows at places drawn from the seed."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        ids, counts = _ids(batch.column("ids"))
-        begin = np.cumsum(counts) - counts
-        seeds = batch.column("seed").to_numpy().view(np.uint64)
-        n = 1 + counts // WINDOW_EVERY
-        owner = np.repeat(np.arange(len(counts)), n)
-        draw = ta.mixed(seeds[owner] + np.arange(len(owner), dtype=np.uint64) - np.repeat(np.cumsum(n) - n, n).astype(np.uint64))
-        start = (draw % np.maximum(counts[owner] - at.WINDOW + 1, 1).astype(np.uint64)).astype(np.int64)
-        windows = []
-        for i, s in zip(owner, start):
-            lead = [-1] if s == 0 else [ids[begin[i] + s - 1]]
-            own = ids[begin[i] + s : begin[i] + min(s + at.WINDOW, counts[i])]
-            windows.append(np.concatenate([lead, own]).astype(np.int32))
-        sizes = np.array([len(w) for w in windows])
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(windows)))
-        yield pa.RecordBatch.from_arrays([pa.array(draw.view(np.int64)), lists], ["draw", "window"])
-
-
-def training_arrays(windows: list[np.ndarray], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Inputs and target classes; a window leads with the id before it, -1 at a text's start."""
-    inputs = np.full((len(windows), at.WINDOW), at.PAD, np.int32)
-    targets = np.full((len(windows), at.WINDOW), -1, np.int64)
-    for i, w in enumerate(windows):
-        n = len(w) - 1
-        inputs[i, :n] = at.bucket(np.maximum(w[:-1], 0))
-        if w[0] < 0:
-            inputs[i, 0] = at.START
-        targets[i, :n] = classes[w[1:]]
-    return inputs, targets
+def training_arrays(ids: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and target classes of the windows that cover the texts, each id a target once.
+
+    An input is the id before its target, across windows too; a text begins with the start.
+    """
+    rows = -(-counts // at.WINDOW)
+    base = (np.cumsum(rows) - rows) * at.WINDOW
+    begin = np.cumsum(counts) - counts
+    place = np.arange(len(ids)) + np.repeat(base - begin, counts)
+    inputs = np.full(int(rows.sum()) * at.WINDOW, at.PAD, np.int32)
+    targets = np.full(len(inputs), -1, np.int64)
+    inputs[place[1:]] = at.bucket(ids[:-1])
+    inputs[base] = at.START
+    targets[place] = classes[ids]
+    return inputs.reshape(-1, at.WINDOW), targets.reshape(-1, at.WINDOW)
 
 
 def _trained_batches(
     batches: Iterator[pa.RecordBatch], values: np.ndarray, classes: np.ndarray, rate: float
 ) -> Iterator[pa.RecordBatch]:
-    """Windows to the weights after one pass over them, each times the number of windows."""
+    """Ids of texts to the weights after one pass over them, each times the number of windows."""
     weights, seen = at.shaped(values), 0
+    rng = np.random.default_rng(1)
     for batch in batches:
-        column = batch.column("window")
-        flat, ends = column.flatten().to_numpy(), np.diff(column.offsets.to_numpy())
-        windows = np.split(flat, np.cumsum(ends)[:-1]) if len(ends) else []
-        if windows:
-            weights = at.train(weights, *training_arrays(windows, classes), rate=rate)
-            seen += len(windows)
+        if not batch.num_rows:
+            continue
+        whole, sizes = _ids(batch.column("ids"))
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        for a, b in ta.pieces(bounds, WINDOW_IDS):
+            inputs, targets = training_arrays(whole[bounds[a] : bounds[b]], sizes[a:b], classes)
+            order = rng.permutation(len(inputs))
+            weights = at.train(weights, inputs[order], targets[order], batch=STEP_WINDOWS, rate=rate)
+            seen += len(inputs)
     if seen:
         out = at.flat(weights).astype(np.float64) * seen
         yield pa.RecordBatch.from_arrays(
@@ -258,13 +243,9 @@ def score_texts(
     for row in ids.groupBy("id").agg(F.sum("n").alias("n")).collect():
         id_counts[row["id"]] = row["n"]
     classes, shares, class_shares = class_table(id_counts)
-    windows = stored(
-        learned.select("ids", F.xxhash64("row").alias("seed"))
-        .mapInArrow(_window_batches, "draw long, window array<int>")
-    )
     values = at.flat(at.initial(class_shares))
     for n_pass in range(PASSES):
-        parts = windows.mapInArrow(
+        parts = learned.select("ids").mapInArrow(
             partial(_trained_batches, values=values, classes=classes, rate=0.01 / (1 + n_pass)),
             "cell int, value double",
         )

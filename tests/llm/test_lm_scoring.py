@@ -110,3 +110,30 @@ def test_training_lowers_held_out_loss(spark, monkeypatch):
     monkeypatch.setattr(lm, "PASSES", 0)
     untrained = lm.score_texts(df, PATH).filter("held_out").agg({"score": "sum"}).first()[0]
     assert trained > 0.97 * untrained
+
+
+def test_training_reads_every_id_of_a_text_once():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    counts = np.array([1, 4096 * 3 + 7, at.WINDOW, at.WINDOW + 1, 2])
+    ids = rng.integers(0, lm.IDS, counts.sum()).astype("<u2")
+    classes = rng.integers(0, at.CLASSES, lm.IDS)
+    ends = np.cumsum(counts)
+    column = pa.array([ids[e - n : e].tobytes() for e, n in zip(ends, counts)], pa.binary())
+    seen = []
+
+    def train(weights, inputs, targets, **other):
+        seen.append((inputs, targets))
+        return weights
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(at, "train", train)
+        batch = pa.RecordBatch.from_arrays([column], ["ids"])
+        list(lm._trained_batches([batch], at.flat(at.initial(np.full(at.CLASSES, 1 / at.CLASSES))), classes, rate=0.01))
+    got = Counter()
+    for inputs, targets in seen:
+        got.update(zip(inputs[targets >= 0].tolist(), targets[targets >= 0].tolist()))
+    starts = set((ends - counts).tolist())
+    before = [at.START if i in starts else int(at.bucket(ids[i - 1 : i])[0]) for i in range(len(ids))]
+    assert got == Counter(zip(before, classes[ids].tolist()))
