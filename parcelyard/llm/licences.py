@@ -2,7 +2,8 @@
 
 Word n-gram logistic regression over licence families and an unknown class is trained
 on varied templates against paragraphs of the corpus. Its probabilities are calibrated
-on held-back examples. A paragraph counts as licensed if a family is likely enough and
+on held-back examples. Lines are read by themselves and, in rows without a blank line,
+across their breaks. A paragraph counts as licensed if a family is likely enough and
 the paragraph also holds most of the word n-grams of one of the family's templates.
 """
 
@@ -104,12 +105,35 @@ class Units:
 def units(data: np.ndarray, ends: np.ndarray) -> Units:
     """Units of the paragraphs that ``ends`` delimits in ``data``, which is plain already."""
     found = ta.words(data, ends)
-    count = np.diff(found.first)
+    return _units_of(found, found.first)
+
+
+def _units_of(found: ta.Words, first: np.ndarray) -> Units:
+    """Units of the word runs ``first[i]:first[i + 1]``."""
+    count = np.diff(first)
     n = np.where(count > UNIT, -(-(count - UNIT) // (UNIT // 2)) + 1, (count > 0).astype(np.int64))
     paragraph = np.repeat(np.arange(len(count)), n)
     place = np.arange(len(paragraph)) - np.repeat(np.cumsum(n) - n, n)
-    start = found.first[paragraph] + place * (UNIT // 2)
-    return Units(found, start, np.minimum(start + UNIT, found.first[paragraph + 1]), paragraph)
+    start = first[paragraph] + place * (UNIT // 2)
+    return Units(found, start, np.minimum(start + UNIT, first[paragraph + 1]), paragraph)
+
+
+def line_units(data: np.ndarray, ends: np.ndarray, text: np.ndarray) -> tuple[Units, np.ndarray]:
+    """Units of all lines, then those over several lines in a row; and the line of each word.
+
+    Lines without a word part the rows; signs at a line's start are blanks already. The
+    paragraph of a unit is its first line.
+    """
+    own = units(data, ends)
+    found, count = own.found, np.diff(own.found.first)
+    line = np.repeat(np.arange(len(count)), count)
+    opens = count > 0
+    opens[1:] &= (count[:-1] == 0) | (text[1:] != text[:-1])
+    row = _units_of(found, np.append(found.first[:-1][opens], found.first[-1]))
+    over = np.flatnonzero(line[row.start] != line[row.end - 1])
+    start, end = row.start[over], row.end[over]
+    both = (np.concatenate(x) for x in ((own.start, start), (own.end, end), (own.paragraph, line[start])))
+    return Units(found, *both), line
 
 
 def plain(data: np.ndarray) -> np.ndarray:
@@ -252,6 +276,23 @@ def best_template(text: str, family: str | None = None) -> tuple[str, float]:
     return name, share
 
 
+def _best_need(text: bytes, family: str) -> set[tuple[bytes, ...]]:
+    """The words and pairs of the family's template that the text holds the largest share of."""
+    have = _pairs(text.decode("utf-8", "replace"))
+    return max((_pairs(template) for template in TEMPLATES[family]), key=lambda n: len(have & n) / len(n))
+
+
+def _common(text: bytes, family: str) -> set[tuple[bytes, ...]]:
+    """What the text shares with the family's best template."""
+    return _pairs(text.decode("utf-8", "replace")) & _best_need(text, family)
+
+
+def _first_met(text: bytes, family: str) -> int:
+    """The first word of a pair that the family's best template for the text has too."""
+    words, need = text.split(), _best_need(text, family)
+    return next((i for i, pair in enumerate(zip(words, words[1:])) if pair in need), 0)
+
+
 FINDING = "array<struct<paragraph: int, family: string, probability: double, similarity: double>>"
 
 
@@ -266,12 +307,13 @@ def _scanned_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterato
             data = plain(raw[offsets[a] : offsets[b]])
             own = offsets[a : b + 1] - offsets[a]
             ends, text = paragraph_ends(data, own)
-            parts = units(data, ends)
+            parts, line = line_units(data, ends, text)
             chance = _softmax(logits(parts, model.weights) / model.temperature)
             family = chance[:, :UNKNOWN].argmax(1)
             likely = chance[np.arange(len(family)), family]
             first = np.searchsorted(text, np.arange(b - a))
             found: list[dict[int, dict]] = [{} for _ in range(b - a)]
+            across, said = [], {}
             for k in np.flatnonzero(likely >= LEAST_PROBABILITY):
                 words = data[parts.found.start[parts.start[k]] : parts.found.end[parts.end[k] - 1]]
                 name = FAMILIES[family[k]]
@@ -279,10 +321,33 @@ def _scanned_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterato
                 if share < LEAST_SIMILARITY:
                     continue
                 p = parts.paragraph[k]
+                last = line[parts.end[k] - 1]
+                if p != last:
+                    across.append((text[p], name, p, last, k, share, words))
+                    continue
                 row = {"paragraph": int(p - first[text[p]]), "family": name, "probability": float(likely[k]), "similarity": share}
                 best = found[text[p]].get((row["paragraph"], name))
                 if best is None or row["probability"] > best["probability"]:
                     found[text[p]][row["paragraph"], name] = row
+                    said[text[p], row["paragraph"], name] = words.tobytes()
+            for t, name, p, last, _, share, words in across:
+                for (at, other), row in list(found[t].items()):
+                    if other != name and p <= at + first[t] <= last and row["similarity"] < share:
+                        if _common(said[t, at, other], other) <= _best_need(words.tobytes(), name):
+                            del found[t][at, other]
+            own_lines = [{(row["paragraph"], row["family"]) for row in f.values()} for f in found]
+            reached: dict[tuple[int, str], tuple[int, dict]] = {}
+            for t, name, p, last, k, share, words in across:
+                if any((int(x - first[t]), name) in own_lines[t] for x in range(p, last + 1)):
+                    continue
+                until, row = reached.get((t, name), (-1, None))
+                if parts.start[k] >= until:
+                    at = line[parts.start[k] + _first_met(words.tobytes(), name)]
+                    row = {"paragraph": int(at - first[t]), "family": name, "probability": 0.0, "similarity": 0.0}
+                    row = found[t].setdefault((row["paragraph"], name), row)
+                reached[t, name] = (parts.end[k], row)
+                if likely[k] > row["probability"]:
+                    row.update(probability=float(likely[k]), similarity=share)
             lists = [[f[key] for key in sorted(f)] for f in found]
             yield pa.RecordBatch.from_arrays(
                 [*rest.slice(a, b - a).columns, pa.array(lists, kind)], [*rest.schema.names, "licences"]
@@ -300,8 +365,10 @@ def sample_paragraphs(df: DataFrame, most: int = MOST_PARAGRAPHS, text: str = "t
 def scan_licences(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``df`` without its text, with ``licences``: paragraph, family, probability, similarity.
 
-    Paragraphs are the lines of the whole text, counted from 0. Long ones are read in
-    overlapping units and named once for each family in them. A null or empty text has
+    Lines of the whole text are counted from 0. Long ones are read in overlapping units
+    and named once for each family in them. So are rows of lines without a blank one, for
+    notices that run over line breaks; these are named by the line they begin on, and a
+    line that holds nothing beyond such a notice does not count for another family. A null or empty text has
     an empty list. An input column ``licences`` gives way. Nothing is shuffled.
     """
     others = [c for c in df.columns if c not in (text, "licences")]

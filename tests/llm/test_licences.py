@@ -62,3 +62,27 @@ def test_sample_and_training_without_corpus(spark):
     assert len(found) == 10 and all(0 < len(p.split()) <= lc.UNIT for p in found)
     assert lc.sample_paragraphs(helpers.documents(spark, [])) == []
     assert lc.train([]).temperature > 0
+
+
+def test_wrapped_headers_are_found(model):
+    import textwrap
+
+    import pyarrow as pa
+
+    scan = lambda some: [r["licences"] for b in lc._scanned_batches([pa.RecordBatch.from_arrays([pa.array(some)], ["_text"])], model) for r in b.to_pylist()]
+    rng = random.Random(3)
+    texts, wants = [], []
+    for family in ("MIT", "Apache-2.0", "GPL", "LGPL", "AGPL", "BSD"):
+        long = max(lc.TEMPLATES[family], key=len)
+        for width in (40, 70, 80):
+            for sign in ("", "# ", " * ", "// "):
+                body = [sign + x for x in textwrap.wrap(long, width)]
+                assert len(body) > 1
+                texts.append("\n".join([helpers.words(rng, 12, 3000), sign.rstrip(), *body, sign.rstrip(), helpers.words(rng, 12, 3000)]))
+                wants.append([(2, family)])
+    texts.append("\n\n".join(textwrap.wrap(lc.TEMPLATES["BSD"][1], 30)))
+    wants.append([])
+    got = [[(x["paragraph"], x["family"]) for x in found] for found in scan(texts)]
+    bad = [(t, w, g) for t, w, g in zip(texts, wants, got) if [f for _, f in w] != sorted({f for _, f in g})]
+    assert not bad, (len(bad), len(texts), bad[:4])
+    assert sum(w == g for w, g in zip(wants, got)) > 0.6 * len(texts)
