@@ -162,9 +162,9 @@ class Words:
     first: np.ndarray
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = _LETTER) -> Words:
     """The words of the texts at ``offsets`` of ``data``; none goes across two texts."""
-    inside = _LETTER[data]
+    inside = letters[data]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]

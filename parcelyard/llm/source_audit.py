@@ -9,16 +9,21 @@ one value, times their number.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelyard.llm import interning
+from parcelyard.llm import textarrays as ta
 from parcelyard.llm.storage import shared_folder, stored, text_or_empty
 
-#: A term is a run of letters a-z (A-Z are lowered) and characters beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Bytes of a term: letters a-z (A-Z are lowered) and all of characters beyond ASCII.
+LETTERS = np.zeros(256, bool)
+LETTERS[0x41:0x5B] = LETTERS[0x61:0x7B] = LETTERS[0x80:] = True
 LEAST_DOCS = 10
 MOST_TERMS = 2**31 - 1
 SCALE = 1_000_000_000
@@ -35,9 +40,26 @@ _VECTORS = """lang string, source string,
     terms struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"""
 
 
-def _terms(text: Column) -> Column:
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.regexp_extract_all(F.translate(text, upper, upper.lower()), F.lit(TERM), F.lit(0))
+def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The column ``text`` as a list of its terms, after the one that every document has."""
+    for batch in batches:
+        data, offsets = ta.text_bytes(batch.column("text"))
+        rest = batch.drop_columns(["text"])
+        for a, b in ta.pieces(offsets):
+            part = data[offsets[a] : offsets[b]]
+            found = interning.words(part, offsets[a : b + 1] - offsets[a], LETTERS)
+            lengths = np.insert(found.length, found.first[:-1], 0)
+            ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+            chars = np.ascontiguousarray(found.data[found.data != 0x20])
+            terms = pa.LargeStringArray.from_buffers(
+                len(lengths), pa.py_buffer(ends), pa.py_buffer(chars)
+            )
+            first = found.first + np.arange(len(found.first))
+            lists = pa.LargeListArray.from_arrays(pa.array(first), terms)
+            kept = rest.slice(a, b - a)
+            yield pa.record_batch(
+                [*kept.columns, lists.cast(pa.list_(pa.string()))], [*kept.schema.names, "terms"]
+            )
 
 
 def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFrame, DataFrame]:
@@ -55,9 +77,9 @@ def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFram
     if not langs:
         return named, spark.createDataFrame([], "lang string, source string, index int, count long")
     # Folders are numbered, as a language may be any text.
-    numbers = spark.createDataFrame(list(zip(langs, range(len(langs)))), "lang string, n int")
-    terms = F.concat(F.array(F.lit(EVERYWHERE)), _terms(F.col("text"))).alias("terms")
-    tokens = docs.join(F.broadcast(numbers), "lang").select("n", "source", terms)
+    numbers = spark.createDataFrame(list(zip(langs, range(len(langs)))), "lang string, n long")
+    texts = docs.join(F.broadcast(numbers), "lang").select("n", "source", "text")
+    tokens = texts.mapInArrow(_term_batches, "n long, source string, terms array<string>")
     tokens.write.partitionBy("n").parquet(words)
     for n, lang in enumerate(langs):
         part = spark.read.parquet(f"{words}/n={n}")
