@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from parcelyard import schema as S
 from parcelyard.functions.metrics import month_start
 from parcelyard.operators import constraints as C
 from parcelyard.operators.compare import count_mismatch, row_differences
+from parcelyard.operators.observed import CountedRows
 
 # The declared constraints, by table. ``raw.`` tables are the
 # unparsed sources.
@@ -187,12 +188,13 @@ def _counted(table: str, columns: str, broken: DataFrame, amount: Column) -> tup
     return table, total.withColumn("column_name", F.lit(columns))
 
 
-def not_null_counts(t: Tables) -> DataFrame:
+def not_null_counts(t: Tables, only: Collection[str] = NOT_NULL) -> DataFrame:
     """CHK1: missing values per declared column, one scan per table."""
     return _stacked(
         [
             (table, C.count_by_condition(t[table], [(c, C.null_condition(c)) for c in columns]))
             for table, columns in NOT_NULL.items()
+            if table in only
         ]
     )
 
@@ -207,7 +209,7 @@ def unique_counts(t: Tables) -> DataFrame:
     )
 
 
-def accepted_values_counts(t: Tables) -> DataFrame:
+def accepted_values_counts(t: Tables, only: Collection[str] = ACCEPTED_VALUES) -> DataFrame:
     """CHK3: rows outside the declared lists, one scan per table."""
     return _stacked(
         [
@@ -218,6 +220,7 @@ def accepted_values_counts(t: Tables) -> DataFrame:
                 ),
             )
             for table, columns in ACCEPTED_VALUES.items()
+            if table in only
         ]
     )
 
@@ -234,7 +237,7 @@ def relationships_counts(t: Tables) -> DataFrame:
     )
 
 
-def accepted_range_counts(t: Tables) -> DataFrame:
+def accepted_range_counts(t: Tables, only: Collection[str] = ACCEPTED_RANGE) -> DataFrame:
     """CHK5: rows outside the declared ranges, one scan per table."""
     return _stacked(
         [
@@ -245,6 +248,7 @@ def accepted_range_counts(t: Tables) -> DataFrame:
                 ),
             )
             for table, columns in ACCEPTED_RANGE.items()
+            if table in only
         ]
     )
 
@@ -261,7 +265,7 @@ def unique_combination_counts(t: Tables) -> DataFrame:
     )
 
 
-def equal_rowcount_counts(t: Tables) -> DataFrame:
+def equal_rowcount_counts(t: Tables, only: Collection[str] = EQUAL_ROWCOUNT) -> DataFrame:
     """CHK7: rows by which two tables that should match differ."""
     return _stacked(
         [
@@ -272,6 +276,7 @@ def equal_rowcount_counts(t: Tables) -> DataFrame:
                 F.sum(F.abs(F.col("row_count") - F.col("other_count"))),
             )
             for table, other in EQUAL_ROWCOUNT.items()
+            if table in only
         ]
     )
 
@@ -342,11 +347,17 @@ def experience_orphans(t: Tables) -> DataFrame:
     )
 
 
+def _invalid_review_score() -> Column:
+    return C.values_condition("review_score", _SCORES)
+
+
 def invalid_review_scores(t: Tables) -> DataFrame:
     """CHK11: review scores outside 1 to 5."""
-    return C.accepted_values(
-        t["int_customer_experience_metrics"], "review_score", _SCORES
-    ).select("order_id", "review_score")
+    return (
+        t["int_customer_experience_metrics"]
+        .filter(_invalid_review_score())
+        .select("order_id", "review_score")
+    )
 
 
 def experience_rowcount(t: Tables) -> DataFrame:
@@ -359,11 +370,15 @@ def experience_rowcount(t: Tables) -> DataFrame:
     )
 
 
+def _impossible_date() -> Column:
+    return F.col("order_delivered_customer_date") < F.col("order_purchase_timestamp")
+
+
 def impossible_dates(t: Tables) -> DataFrame:
     """CHK13: delivered before purchased."""
     return (
         t["int_order_delivery_metrics"]
-        .filter("order_delivered_customer_date < order_purchase_timestamp")
+        .filter(_impossible_date())
         .select("order_id", "order_purchase_timestamp", "order_delivered_customer_date")
     )
 
@@ -375,8 +390,7 @@ def delivery_rowcount(t: Tables) -> DataFrame:
     )
 
 
-def inconsistent_severity(t: Tables) -> DataFrame:
-    """CHK15: severity that does not follow from the delay."""
+def _wrong_severity() -> Column:
     days, sev = F.col("delay_days"), F.col("severity")
     implied = (
         F.when(days.isNull(), sev.isin(S.NO_OUTCOME))
@@ -385,17 +399,26 @@ def inconsistent_severity(t: Tables) -> DataFrame:
         .when(days <= 7, sev == S.LATE_4_7)
         .otherwise(sev == S.LATE_8_UP)
     )
+    return ~F.coalesce(implied, F.lit(False))
+
+
+def inconsistent_severity(t: Tables) -> DataFrame:
+    """CHK15: severity that does not follow from the delay."""
     return (
         t["int_order_delivery_metrics"]
-        .filter(~F.coalesce(implied, F.lit(False)))
+        .filter(_wrong_severity())
         .select("order_id", "delay_days", "severity")
     )
 
 
+def _negative_ratio() -> Column:
+    return C.range_condition("freight_ratio", low=0)
+
+
 def negative_freight_ratio(t: Tables) -> DataFrame:
     """CHK16: freight ratio below zero."""
-    return C.accepted_range(t["int_order_freight_metrics"], "freight_ratio", low=0).select(
-        "order_id", "freight_ratio"
+    return (
+        t["int_order_freight_metrics"].filter(_negative_ratio()).select("order_id", "freight_ratio")
     )
 
 
@@ -428,17 +451,21 @@ def freight_sums(t: Tables) -> DataFrame:
     )
 
 
-def seller_ratio_expression(t: Tables) -> DataFrame:
-    """CHK19: seller freight ratio that is not freight over price."""
+def _wrong_ratio() -> Column:
     price, freight, ratio = (
         F.col(c) for c in ("total_price", "total_freight_value", "freight_ratio")
     )
     wrong = F.when(price == 0, ratio.isNotNull()).otherwise(
         ratio.isNull() | (F.abs(ratio - freight / F.nullif(price, F.lit(0.0))) > 1e-9)
     )
+    return price.isNotNull() & wrong
+
+
+def seller_ratio_expression(t: Tables) -> DataFrame:
+    """CHK19: seller freight ratio that is not freight over price."""
     return (
         t["int_seller_freight_metrics"]
-        .filter(price.isNotNull() & wrong)
+        .filter(_wrong_ratio())
         .select("seller_id", "time_period", "total_price", "total_freight_value", "freight_ratio")
     )
 
@@ -488,18 +515,28 @@ def seller_sums(t: Tables) -> DataFrame:
     )
 
 
+def _rate_outside() -> Column:
+    return C.range_condition("on_time_rate", low=0, high=1)
+
+
 def on_time_rate_range(t: Tables) -> DataFrame:
     """CHK21: on-time rate outside 0 to 1."""
-    return C.accepted_range(
-        t["int_seller_performance_metrics"], "on_time_rate", low=0, high=1
-    ).select("seller_id", "on_time_rate")
+    return (
+        t["int_seller_performance_metrics"]
+        .filter(_rate_outside())
+        .select("seller_id", "on_time_rate")
+    )
+
+
+def _no_orders() -> Column:
+    return F.col("order_volume").isNull() | (F.col("order_volume") <= 0)
 
 
 def order_volume_positive(t: Tables) -> DataFrame:
     """CHK22: seller without orders."""
     return (
         t["int_seller_performance_metrics"]
-        .filter("order_volume is null or order_volume <= 0")
+        .filter(_no_orders())
         .select("seller_id", "order_volume")
     )
 
@@ -542,8 +579,74 @@ SINGULAR: dict[str, Check] = {
 }
 
 
-def generic_counts(t: Tables) -> DataFrame:
-    """Violations of every declared constraint."""
+#: Reconciliation checks that look at one row at a time: table and condition of a violation.
+ROW_CHECKS: dict[str, tuple[str, Callable[[], Column]]] = {
+    "invalid_review_scores": ("int_customer_experience_metrics", _invalid_review_score),
+    "impossible_dates": ("int_order_delivery_metrics", _impossible_date),
+    "inconsistent_severity": ("int_order_delivery_metrics", _wrong_severity),
+    "negative_freight_ratio": ("int_order_freight_metrics", _negative_ratio),
+    "seller_ratio_expression": ("int_seller_freight_metrics", _wrong_ratio),
+    "on_time_rate_range": ("int_seller_performance_metrics", _rate_outside),
+    "order_volume_positive": ("int_seller_performance_metrics", _no_orders),
+}
+#: Reconciliation checks that compare the rows of two tables.
+ROWCOUNT_CHECKS: dict[str, tuple[str, str]] = {
+    "experience_rowcount": ("int_customer_experience_metrics", "int_order_delivery_metrics"),
+    "delivery_rowcount": ("int_order_delivery_metrics", "stg_orders"),
+}
+
+
+def row_conditions(table: str) -> dict[tuple[str, str], Column]:
+    """(check, target) and condition of each violation that a row of ``table`` shows by itself."""
+    found = {("not_null", c): C.null_condition(c) for c in NOT_NULL.get(table, [])}
+    for column, values in ACCEPTED_VALUES.get(table, {}).items():
+        found[("accepted_values", column)] = C.values_condition(column, values)
+    for column, ends in ACCEPTED_RANGE.get(table, {}).items():
+        found[("accepted_range", column)] = C.range_condition(column, *ends)
+    named = {(kind, f"{table}.{column}"): cond for (kind, column), cond in found.items()}
+    return named | {
+        (name, ""): condition() for name, (of, condition) in ROW_CHECKS.items() if of == table
+    }
+
+
+Finding = tuple[str, str, str, int]
+
+
+def counted_findings(counted: CountedRows) -> list[Finding]:
+    """(check, target, level, violations) of all checks that the counts of written tables decide."""
+    tables = {*NOT_NULL, *ACCEPTED_VALUES, *ACCEPTED_RANGE, *(t for t, _ in ROW_CHECKS.values())}
+    found = []
+    for table in sorted(tables):
+        if table in counted:
+            for (name, target), n in counted.matching(table).items():
+                found.append((name, target, SINGULAR[name].level if name in SINGULAR else "error", n))
+    for table, other in EQUAL_ROWCOUNT.items():
+        if table in counted and other in counted:
+            apart = abs(counted.rows(table) - counted.rows(other))
+            found.append(("equal_rowcount", f"{table}.*", "error", apart))
+    for name, (table, other) in ROWCOUNT_CHECKS.items():
+        if table in counted and other in counted:
+            differ = int(counted.rows(table) != counted.rows(other))
+            found.append((name, "", SINGULAR[name].level, differ))
+    return found
+
+
+def _uncounted(kind: str, counted: CountedRows) -> Callable[[Tables], DataFrame] | None:
+    """The scan of a declared constraint over the tables that were not counted, if any is left."""
+    declared = {"not_null": NOT_NULL, "accepted_values": ACCEPTED_VALUES, "accepted_range": ACCEPTED_RANGE}
+    if kind in declared:
+        left = [t for t in declared[kind] if t not in counted]
+        return partial(GENERIC[kind], only=left) if left else None
+    if kind == "equal_rowcount":
+        left = [t for t, o in EQUAL_ROWCOUNT.items() if t not in counted or o not in counted]
+        return partial(GENERIC[kind], only=left) if left else None
+    return GENERIC[kind]
+
+
+def generic_counts(t: Tables, counted: CountedRows | None = None) -> DataFrame:
+    """Violations of every declared constraint that ``counted`` does not decide."""
+    counted = counted or CountedRows()
+    scans = {kind: _uncounted(kind, counted) for kind in GENERIC}
     return reduce(
         DataFrame.unionAll,
         [
@@ -553,13 +656,17 @@ def generic_counts(t: Tables) -> DataFrame:
                 F.lit("error").alias("level"),
                 "violations",
             )
-            for kind, count in GENERIC.items()
+            for kind, count in scans.items()
+            if count
         ],
     )
 
 
-def singular_counts(t: Tables) -> DataFrame:
-    """Violations of every reconciliation check."""
+def singular_counts(t: Tables, counted: CountedRows | None = None) -> DataFrame:
+    """Violations of every reconciliation check that ``counted`` does not decide."""
+    counted = counted or CountedRows()
+    decided = {name for name, (table, _) in ROW_CHECKS.items() if table in counted}
+    decided |= {n for n, (a, b) in ROWCOUNT_CHECKS.items() if a in counted and b in counted}
     return reduce(
         DataFrame.unionAll,
         [
@@ -572,10 +679,19 @@ def singular_counts(t: Tables) -> DataFrame:
                 "violations",
             )
             for name, check in SINGULAR.items()
+            if name not in decided
         ],
     )
 
 
-def run_checks(t: Tables) -> DataFrame:
-    """All checks: name, what they look at, level and number of violations."""
-    return generic_counts(t).unionAll(singular_counts(t))
+def run_checks(t: Tables, counted: CountedRows | None = None) -> DataFrame:
+    """All checks: name, what they look at, level and number of violations.
+
+    What ``counted`` saw while tables were written is taken from there; only the other
+    checks read tables.
+    """
+    scanned = generic_counts(t, counted).unionAll(singular_counts(t, counted))
+    if counted is None:
+        return scanned
+    known = scanned.sparkSession.createDataFrame(counted_findings(counted), scanned.schema)
+    return known.unionAll(scanned)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelyard.operators.observed import CountedRows
+from parcelyard.plans.checks import row_conditions
 from parcelyard.schema import RAW_COLUMNS, raw_schema
 
 # Only free text can hold line breaks. A file read with multi-line on cannot be
@@ -46,9 +48,16 @@ def write_raw_csv(raw: Mapping[str, DataFrame], directory: str) -> None:
         df.write.mode("overwrite").options(header="true", escape='"').csv(f"{directory}/{table}")
 
 
-def import_raw(raw: Mapping[str, DataFrame], directory: str) -> dict[str, DataFrame]:
-    """Convert raw tables to Parquet once, so later runs read split, columnar files."""
+def import_raw(
+    raw: Mapping[str, DataFrame], directory: str, counted: CountedRows | None = None
+) -> dict[str, DataFrame]:
+    """Convert raw tables to Parquet once, so later runs read split, columnar files.
+
+    With ``counted``, the checks on raw tables are counted in passing, as ``raw.<table>``.
+    """
     for table, df in raw.items():
+        if counted is not None:
+            df = counted.watch(f"raw.{table}", df, row_conditions(f"raw.{table}"))
         df.write.mode("overwrite").parquet(f"{directory}/{table}")
     return read_imported(next(iter(raw.values())).sparkSession, directory, raw)
 

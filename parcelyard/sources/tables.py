@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelyard.functions.metrics import month_start
+from parcelyard.operators.observed import CountedRows
 from parcelyard.plans import checks, orders, quality, score, sellers
 from parcelyard.plans.models import INTERMEDIATE, MARTS, STAGING, Models
 
@@ -34,14 +35,24 @@ def _bloom_filters(*columns: str) -> dict[str, str]:
     return {**enabled, "parquet.bloom.filter.adaptive.enabled": "true"}
 
 
-def write_orders(fct_orders: DataFrame, path: str) -> DataFrame:
+def _watched(name: str, df: DataFrame, counted: CountedRows | None) -> DataFrame:
+    """``df``, with the checks of its rows counted by the write that follows."""
+    if counted is None:
+        return df
+    return counted.watch(name, df, checks.row_conditions(name))
+
+
+def write_orders(
+    fct_orders: DataFrame, path: str, counted: CountedRows | None = None
+) -> DataFrame:
     """Store the order fact in one folder per purchase month and read it back.
 
     The rebalance gathers a month into few files yet splits a month that is far
     larger than the others, so no task has to write a hot month alone.
     """
     dated = fct_orders.withColumn(MONTH, month_start(F.col("order_purchase_timestamp")))
-    writer = dated.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
+    dealt = _watched("fct_orders", dated.hint("rebalance", MONTH), counted)
+    writer = dealt.write.mode("overwrite").partitionBy(MONTH)
     writer.options(**_bloom_filters("order_id")).parquet(path)
     return read_orders(fct_orders.sparkSession, path)
 
@@ -57,19 +68,24 @@ def _store(df: DataFrame, path: str, *searched: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def write_marts(models: Models, directory: str) -> dict[str, DataFrame]:
+def write_marts(
+    models: Models, directory: str, counted: CountedRows | None = None
+) -> dict[str, DataFrame]:
     """Rebuild all marts below ``directory`` and return the stored tables.
 
     The two facts are written first. The aggregates are then computed from the
     stored facts, so items, reviews and orders are joined once in the whole run,
-    and a lost executor costs one stage, not the chain from the raw files.
+    and a lost executor costs one stage, not the chain from the raw files. With
+    ``counted``, the writes count what the checks ask of single rows.
     """
     stored: dict[str, DataFrame] = {}
+
+    def keep(name: str, df: DataFrame, *searched: str) -> None:
+        stored[name] = _store(_watched(name, df, counted), f"{directory}/{name}", *searched)
+
     for name in ("dim_customer", "dim_date", "dim_location", "dim_product", "dim_seller"):
-        stored[name] = _store(models[name], f"{directory}/{name}")
-    stored["fct_order_items"] = _store(
-        models.fct_order_items, f"{directory}/fct_order_items", "order_id", "seller_id"
-    )
+        keep(name, models[name])
+    keep("fct_order_items", models.fct_order_items, "order_id", "seller_id")
     stored["fct_orders"] = write_orders(
         orders.fct_orders(
             models["stg_orders"],
@@ -79,6 +95,7 @@ def write_marts(models: Models, directory: str) -> dict[str, DataFrame]:
             stored["dim_customer"],
         ),
         f"{directory}/fct_orders",
+        counted,
     )
 
     facts, dim_seller = stored["fct_orders"], stored["dim_seller"]
@@ -95,7 +112,7 @@ def write_marts(models: Models, directory: str) -> dict[str, DataFrame]:
         "mart_seller_performance": sellers.mart_seller_performance(pairs, facts, dim_seller),
     }
     for name, df in aggregates.items():
-        stored[name] = _store(df, f"{directory}/{name}")
+        keep(name, df)
     return stored
 
 
@@ -110,7 +127,14 @@ def read_marts(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
 
 
 class ChecksFailed(Exception):
-    """Checks of level ``error`` found violations; the tables built stay unpublished."""
+    """Checks of level ``error`` found violations; the tables built stay unpublished.
+
+    ``findings`` has the outcome of every check, as the version folder keeps it.
+    """
+
+    def __init__(self, message: str, findings: DataFrame):
+        super().__init__(message)
+        self.findings = findings
 
 
 class BuiltTables:
@@ -126,24 +150,32 @@ class BuiltTables:
         return df.drop(MONTH) if name == "fct_orders" else df
 
 
-def build_and_check(models: Models, raw, directory: str) -> DataFrame:
+def build_and_check(
+    models: Models, raw, directory: str, counted: CountedRows | None = None
+) -> DataFrame:
     """Store all tables in a new version folder, check them, and publish the version.
 
     Staging and intermediate tables are stored beside the marts, so that a check reads
-    tables and derives none again. The findings are returned and kept in the version
+    tables and derives none again. What a check asks of single rows or of row numbers is
+    counted by the writes themselves; pass the counts of :func:`import_raw` as ``counted``
+    and the raw tables are not read for such checks either. The findings are returned and kept in the version
     folder. If a check of level ``error`` finds anything, nothing is published and
     readers go on with the version before. Publishing is one appended row, which a
     reader sees wholly or not at all.
     """
     version = f"{directory}/version-{uuid.uuid4().hex}"
-    stored = {name: _store(models[name], f"{version}/{name}") for name in STAGING + INTERMEDIATE}
-    stored |= write_marts(Models({n: stored[n] for n in STAGING}, models.calendar), version)
+    counted = CountedRows() if counted is None else counted
+    stored = {
+        name: _store(_watched(name, models[name], counted), f"{version}/{name}")
+        for name in STAGING + INTERMEDIATE
+    }
+    stored |= write_marts(Models({n: stored[n] for n in STAGING}, models.calendar), version, counted)
     tables = checks.WithRaw(BuiltTables(stored, models), raw)
-    findings = _store(checks.run_checks(tables), f"{version}/_findings")
+    findings = _store(checks.run_checks(tables, counted), f"{version}/_findings")
     broken = findings.filter("level = 'error' AND violations > 0")
     names = [f"{r['check']} {r['target']}: {r['violations']}" for r in broken.limit(20).collect()]
     if names:
-        raise ChecksFailed("; ".join(names))
+        raise ChecksFailed("; ".join(names), findings)
     publish = findings.sparkSession.range(1).select(
         F.lit(version).alias("version"), F.current_timestamp().alias("published")
     )

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from parcelyard.lazy import LazyTables
 from parcelyard.plans import checks, insights, reports
+from parcelyard.operators.observed import CountedRows
 from parcelyard.plans.checks import WithRaw
 from parcelyard.plans.models import MARTS, Models
 from parcelyard.plans.staging import stage
 from parcelyard.sources import demo
 from parcelyard.sources.calendar import observed_range
-from parcelyard.sources.raw import raw_counts, read_raw_table, write_raw_csv
+from parcelyard.sources.raw import import_raw, raw_counts, read_raw_table, write_raw_csv
 from parcelyard.sources.tables import (
+    ChecksFailed,
     build_and_check,
     register_views,
     scratch_path,
@@ -111,6 +113,8 @@ class Query:
     sql: str
     digits: dict[str, int] = field(default_factory=dict)
     faults: dict[str, planted.Fault] = field(default_factory=dict)
+    #: Tables with faults that reach whatever is computed from them.
+    sources: dict[str, planted.Fault] = field(default_factory=dict)
 
     def run(self, spark: SparkSession, directory: str) -> DataFrame:
         df = self.build(Inputs(spark, directory))
@@ -120,7 +124,8 @@ class Query:
 
     def oracle(self) -> str:
         body, tables = planted.planted_sql(rounded(self.sql, self.digits), self.faults)
-        return with_tables(body, tables)
+        changed = {t: fault.duckdb(t, f"sound_{t}") for t, fault in self.sources.items()}
+        return with_tables(body, tables, changed)
 
 
 def _digits(money: str = "", rates: str = "") -> dict[str, int]:
@@ -847,3 +852,95 @@ _check(
             USING (seller_id, time_period)
        WHERE in_freight IS NULL OR in_perf IS NULL""",
 )
+
+# --- checks counted by the writes, and builds that they stop ----------------------
+
+_CHECKS_OF_ROWS = {"chk1_not_null", "chk3_accepted_values", "chk5_accepted_range"}
+_SINGULAR_SQL = {
+    key.split("_", 1)[1]: query.sql
+    for key, query in QUERIES.items()
+    if key.startswith("chk") and key.split("_", 1)[1] in checks.SINGULAR
+}
+
+
+def _generic_findings(keys) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{key.split("_", 1)[1]}' AS "check", table_name || '.' || column_name AS target,
+                   'error' AS level, violations FROM ({CONSTRAINTS[key]})"""
+        for key in keys
+    )
+
+
+def _singular_findings(names) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS "check", '' AS target, '{checks.SINGULAR[name].level}' AS level,
+                   count(*) AS violations FROM ({_SINGULAR_SQL[name]})"""
+        for name in names
+    )
+
+
+#: Every fault that a row shows by itself, in one set of tables; a column has one kind of fault.
+_ROW_FAULTS = {
+    table: planted.Fault(
+        {
+            column: cases
+            for kind in ("not_null", "accepted_values", "accepted_range")
+            for column, cases in _GENERIC_FAULTS[kind].get(table, planted.Fault()).values.items()
+        }
+    )
+    for table in {*checks.NOT_NULL, *checks.ACCEPTED_VALUES, *checks.ACCEPTED_RANGE}
+}
+
+
+def _counted_while_stored(i: Inputs) -> DataFrame:
+    """Findings of the checks of single rows, counted by the writes of tables with faults."""
+    counted, faulty = CountedRows(), planted.Planted(i.everything, _ROW_FAULTS)
+    raw = {t[4:]: faulty[t] for t in _ROW_FAULTS if t.startswith("raw.")}
+    import_raw(raw, i.scratch(), counted)
+    for table in _ROW_FAULTS:
+        if not table.startswith("raw."):
+            i.stored(counted.watch(table, faulty[table], checks.row_conditions(table)))
+    schema = "check string, target string, level string, violations long"
+    # row numbers would compare tables that this query stores with different faults
+    findings = [
+        f for f in checks.counted_findings(counted)
+        if f[0] in checks.ROW_CHECKS or f"{f[1]}".split(".")[-1] != "*" and f[1]
+    ]
+    return i.spark.createDataFrame(findings, schema)
+
+
+QUERIES["snk4_counted_while_stored"] = Query(
+    _counted_while_stored,
+    f"{_generic_findings(sorted(_CHECKS_OF_ROWS))} UNION ALL {_singular_findings(checks.ROW_CHECKS)}",
+    faults=_ROW_FAULTS,
+)
+
+_UNSOUND = {
+    "stg_order_items": planted.Fault(
+        {"price": [("# % 7 = 1", "CAST(-1 AS DOUBLE)")], "seller_id": [("# % 97 = 2", "'nobody'")]},
+        twice="# % 89 = 3",
+    ),
+    "stg_order_reviews": planted.Fault({"review_score": [("# % 7 = 4", "CAST(9 AS SMALLINT)")]}),
+}
+
+
+def _refused(i: Inputs) -> DataFrame:
+    """All findings of a build over faulty staging tables, which must not be published."""
+    faulty = planted.Planted(i.staged, _UNSOUND)
+    staged = LazyTables({t: lambda t=t: faulty[t] for t in i.staged})
+    models = Models(staged, lambda: observed_range(staged["stg_orders"], *ORDER_DATES))
+    try:
+        build_and_check(models, i.raw, i.scratch())
+    except ChecksFailed as refused:
+        return refused.findings
+    raise AssertionError("a build with violations was published")
+
+
+QUERIES["snk5_refused_build"] = Query(
+    _refused,
+    f"""{_generic_findings(CONSTRAINTS)}
+        UNION ALL {_singular_findings(n for n in checks.SINGULAR if n != "calendar_gaps")}
+        UNION ALL SELECT 'calendar_gaps', '', 'error', count(*) FROM order_days
+        WHERE day < (SELECT min(date_day) FROM dim_date) OR day > (SELECT max(date_day) FROM dim_date)""",
+    sources=_UNSOUND,
+)

@@ -477,8 +477,15 @@ for _table in _STAGED:
     )
 
 
-def with_tables(body: str, more: dict[str, str] | None = None) -> str:
-    """``body`` preceded by the tables it names, directly or through others, and by ``more``."""
+def with_tables(
+    body: str, more: dict[str, str] | None = None, changed: dict[str, str] | None = None
+) -> str:
+    """``body`` preceded by the tables it names, directly or through others, and by ``more``.
+
+    ``changed`` puts other rows under the name of a table, for whatever reads it; its SQL
+    names the table as it was ``sound_<table>``.
+    """
+    changed = changed or {}
     needed: set[str] = set()
     more = more or {}
     pending = [body, *more.values()]
@@ -488,7 +495,12 @@ def with_tables(body: str, more: dict[str, str] | None = None) -> str:
             if name not in needed and re.search(rf"\b{name}\b", text):
                 needed.add(name)
                 pending.append(TABLES[name])
-    parts = [f"{name} AS ({TABLES[name]}\n)" for name in TABLES if name in needed]
+    parts = []
+    for name in (n for n in TABLES if n in needed):
+        given = f"sound_{name}" if name in changed else name
+        parts.append(f"{given} AS ({TABLES[name]}\n)")
+        if name in changed:
+            parts.append(f"{name} AS ({changed[name]}\n)")
     parts += [f"{name} AS ({sql}\n)" for name, sql in more.items()]
     return f"WITH {', '.join(parts)}\n{body}" if parts else body
 
