@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from parcelyard.operators.observed import CountedRows
 from parcelyard.plans.checks import row_conditions
 from parcelyard.schema import RAW_COLUMNS, raw_schema
+from parcelyard.sources.quoted import read_quoted
 
-# Only free text can hold line breaks. A file read with multi-line on cannot be
-# split, so the other tables are read without it.
+# Only free text can hold line breaks. Their tables are read by quote parity, the other
+# ones line by line.
 MULTILINE_TABLES = frozenset({"order_reviews"})
 
 
@@ -29,6 +30,8 @@ def csv_options(table: str) -> dict[str, str]:
 
 def read_raw_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """One raw table, verbatim. A header that differs from the layout is an error."""
+    if table in MULTILINE_TABLES:
+        return read_quoted(spark, path, raw_schema(table), {"escape": '"'})
     return spark.read.schema(raw_schema(table)).options(**csv_options(table)).csv(path)
 
 

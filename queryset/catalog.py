@@ -238,6 +238,34 @@ def _loaded_twice(i: Inputs) -> DataFrame:
     return raw_counts(loaded)
 
 
+_BREAKS = "{0} || ' says' || {1} || '\"' || {2} || '\", and' || {1} || {1} || '\"\"' || {1} || 'end'"
+_REVIEW_TEXTS = ("review_id", "order_id", "review_comment_title", "review_comment_message")
+
+
+def _quoted_breaks(i: Inputs) -> DataFrame:
+    """Reviews whose text holds quotes and line breaks, from one file that many tasks read."""
+    folder, small = i.scratch(), {"spark.sql.files.maxPartitionBytes": "64k"}
+    message = F.expr(_BREAKS.format("review_comment_message", "char(10)", "review_id"))
+    texts = i.raw["order_reviews"].withColumn("review_comment_message", message)
+    write_raw_csv({"order_reviews": texts.coalesce(1)}, folder)
+    before = {name: i.spark.conf.get(name) for name in small}
+    for name, value in small.items():
+        i.spark.conf.set(name, value)
+    try:
+        loaded = read_raw_table(i.spark, f"{folder}/order_reviews", "order_reviews")
+        return i.stored(loaded).select(*_REVIEW_TEXTS)
+    finally:
+        for name, value in before.items():
+            i.spark.conf.set(name, value)
+
+
+_add(
+    "src6_quoted_line_breaks",
+    _quoted_breaks,
+    f"""SELECT {", ".join(_REVIEW_TEXTS)} FROM (
+          SELECT * REPLACE ({_BREAKS.format("review_comment_message", "chr(10)", "review_id")}
+                            AS review_comment_message) FROM src_order_reviews)""",
+)
 _add("src5_repeated_load", _loaded_twice, QUERIES["src4_raw_counts"].sql)
 
 
