@@ -11,8 +11,13 @@ from parcelyard.functions.metrics import month_start
 from parcelyard.operators.observed import CountedRows
 from parcelyard.plans import checks, orders, quality, score, sellers
 from parcelyard.plans.models import INTERMEDIATE, MARTS, STAGING, Models
+from parcelyard.sources.bucketed import read_bucketed, write_bucketed
 
 MONTH = "order_month"
+#: Facts by order, in equal buckets, so that order and item drill-downs join without a shuffle.
+BY_ORDER = {"fct_orders": "fct_orders_by_id", "fct_order_items": "fct_order_items"}
+#: Buckets of these facts where a caller names no number; a search for one order reads one.
+BUCKETS = 64
 
 
 def scratch_path(spark: SparkSession) -> str:
@@ -69,10 +74,16 @@ def _store(df: DataFrame, path: str, *searched: str) -> DataFrame:
 
 
 def write_marts(
-    models: Models, directory: str, counted: CountedRows | None = None
+    models: Models,
+    directory: str,
+    counted: CountedRows | None = None,
+    buckets: int = BUCKETS,
 ) -> dict[str, DataFrame]:
     """Rebuild all marts below ``directory`` and return the stored tables.
 
+    The item fact is bucketed by order. The order fact is stored twice: per purchase month
+    for reports over time, and bucketed like the items as ``fct_orders_by_id``.
+
     The two facts are written first. The aggregates are then computed from the
     stored facts, so items, reviews and orders are joined once in the whole run,
     and a lost executor costs one stage, not the chain from the raw files. With
@@ -85,7 +96,14 @@ def write_marts(
 
     for name in ("dim_customer", "dim_date", "dim_location", "dim_product", "dim_seller"):
         keep(name, models[name])
-    keep("fct_order_items", models.fct_order_items, "order_id", "seller_id")
+    stored["fct_order_items"] = write_bucketed(
+        models.fct_order_items,
+        f"{directory}/fct_order_items",
+        "order_id",
+        buckets,
+        _bloom_filters("seller_id"),
+        last=lambda items: _watched("fct_order_items", items, counted),
+    )
     stored["fct_orders"] = write_orders(
         orders.fct_orders(
             models["stg_orders"],
@@ -99,6 +117,9 @@ def write_marts(
     )
 
     facts, dim_seller = stored["fct_orders"], stored["dim_seller"]
+    stored["fct_orders_by_id"] = write_bucketed(
+        facts.drop(MONTH), f"{directory}/fct_orders_by_id", "order_id", buckets
+    )
     pairs = _store(orders.order_sellers(stored["fct_order_items"]), f"{directory}/_order_sellers")
     per_order = pairs.groupBy("order_id").agg(F.count(F.lit(1)).alias("seller_count"))
     aggregates = {
@@ -116,13 +137,16 @@ def write_marts(
     return stored
 
 
-def read_marts(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """Marts stored by :func:`write_marts`."""
-    return {
-        name: read_orders(spark, f"{directory}/{name}")
-        if name == "fct_orders"
-        else spark.read.parquet(f"{directory}/{name}")
-        for name in MARTS
+def read_marts(
+    spark: SparkSession, directory: str, buckets: int = BUCKETS
+) -> dict[str, DataFrame]:
+    """Marts stored by :func:`write_marts` with the same number of buckets."""
+    plain = (n for n in MARTS if n not in BY_ORDER)
+    stored = {name: spark.read.parquet(f"{directory}/{name}") for name in plain}
+    stored["fct_orders"] = read_orders(spark, f"{directory}/fct_orders")
+    return stored | {
+        name: read_bucketed(spark, f"{directory}/{name}", "order_id", buckets)
+        for name in BY_ORDER.values()
     }
 
 

@@ -542,6 +542,17 @@ _add(
        WHERE o.order_id = i.order_id AND i.order_id = '77'""",
     _FREIGHT,
 )
+_add(
+    "rpt14_seller_drill_down_by_bucket",
+    lambda i: reports.seller_drill_down(i.marts["fct_order_items"], i.marts["fct_orders_by_id"], "7"),
+    QUERIES["rpt14_seller_drill_down"].sql,
+)
+_add(
+    "rpt16_order_drill_down_by_bucket",
+    lambda i: reports.order_drill_down(i.marts["fct_orders_by_id"], i.marts["fct_order_items"], "77"),
+    QUERIES["rpt16_order_drill_down"].sql,
+    _FREIGHT,
+)
 _SELLER_FREIGHT = _digits("total_freight_value", "freight_ratio")
 _add(
     "rpt17_freight_by_seller",
