@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelyard.functions.metrics import month_start
 from parcelyard.operators.observed import CountedRows
-from parcelyard.plans import checks, orders, quality, score, sellers
+from parcelyard.plans import checks, orders, quality, score, sellers, summary
 from parcelyard.plans.models import INTERMEDIATE, MARTS, STAGING, Models
 from parcelyard.sources.bucketed import read_bucketed, write_bucketed
 
@@ -73,6 +73,13 @@ def _store(df: DataFrame, path: str, *searched: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _write_summary(facts: DataFrame, path: str) -> DataFrame:
+    """Store the order summary in one folder per level."""
+    df = summary.order_summary(facts)
+    df.hint("rebalance", "level").write.mode("overwrite").partitionBy("level").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_marts(
     models: Models,
     directory: str,
@@ -120,6 +127,7 @@ def write_marts(
     stored["fct_orders_by_id"] = write_bucketed(
         facts.drop(MONTH), f"{directory}/fct_orders_by_id", "order_id", buckets
     )
+    stored[summary.NAME] = _write_summary(facts, f"{directory}/{summary.NAME}")
     pairs = _store(orders.order_sellers(stored["fct_order_items"]), f"{directory}/_order_sellers")
     per_order = pairs.groupBy("order_id").agg(F.count(F.lit(1)).alias("seller_count"))
     aggregates = {
@@ -141,7 +149,7 @@ def read_marts(
     spark: SparkSession, directory: str, buckets: int = BUCKETS
 ) -> dict[str, DataFrame]:
     """Marts stored by :func:`write_marts` with the same number of buckets."""
-    plain = (n for n in MARTS if n not in BY_ORDER)
+    plain = [n for n in MARTS if n not in BY_ORDER] + [summary.NAME]
     stored = {name: spark.read.parquet(f"{directory}/{name}") for name in plain}
     stored["fct_orders"] = read_orders(spark, f"{directory}/fct_orders")
     return stored | {

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelyard.lazy import LazyTables
-from parcelyard.plans import checks, insights, reports
+from parcelyard.plans import checks, insights, reports, summary
 from parcelyard.operators.observed import CountedRows
 from parcelyard.plans.checks import WithRaw
 from parcelyard.plans.models import MARTS, Models
@@ -571,6 +571,27 @@ _add(
     _digits("total_freight_value", "avg_freight_ratio"),
 )
 
+# The same reports from the stored summary, by the same SQL over all orders.
+_BY_REPORT = {
+    "rpt2_delivery_kpis": summary.delivery_kpis,
+    "rpt3_review_scores": summary.review_scores,
+    "rpt4_logistics_cost": summary.logistics_cost,
+    "rpt7_trends": summary.trends,
+    "rpt8_severity_by_month": summary.severity_by_month,
+    "rpt10_cost_by_month": summary.cost_by_month,
+    "rpt11_severity_by_place": summary.severity_by_place,
+    "rpt12_review_by_severity": summary.review_by_severity,
+    "rpt13_cost_by_severity": summary.cost_by_severity,
+    "rpt18_freight_by_state": summary.freight_by_state,
+}
+for _report, _from_summary in _BY_REPORT.items():
+    _add(
+        f"{_report}_from_summary",
+        lambda i, f=_from_summary: f(i.marts[summary.NAME]),
+        QUERIES[_report].sql,
+        QUERIES[_report].digits,
+    )
+
 # --- filters -------------------------------------------------------------------
 
 _add(

@@ -114,7 +114,7 @@ def test_observed_calendar(spark):
 def test_stored_marts_equal_lazy_marts(spark, models, tmp_path):
     stored = tables.write_marts(models, str(tmp_path))
     again = tables.read_marts(spark, str(tmp_path))
-    assert set(stored) == set(again) == {*MARTS, "fct_orders_by_id"}
+    assert set(stored) == set(again) == {*MARTS, "fct_orders_by_id", "mart_order_summary"}
     assert rows(again["fct_orders_by_id"]) == rows(models["fct_orders"])
     for name in MARTS:
         lazy = models[name]
@@ -177,4 +177,4 @@ def test_build_publishes_only_what_passes_its_checks(spark, small_dir, tmp_path)
     assert {r.check for r in found if r.violations} == {"impossible_dates"}
     assert len({r.check for r in found}) == 7 + len(SINGULAR)
     published = tables.read_published(spark, folder)
-    assert set(published) == {*MARTS, "fct_orders_by_id"} and published["fct_orders"].count() == 1500
+    assert set(published) == {*MARTS, "fct_orders_by_id", "mart_order_summary"} and published["fct_orders"].count() == 1500
