@@ -24,9 +24,10 @@ def hot_keys(df: DataFrame, key: str, ways: int) -> DataFrame:
     There can be no more than ``ways`` of them, whatever the size of the table. Counts
     are exact, so every evaluation yields the same keys.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.filter(F.col("_n") * ways >= total).select(key, F.lit(True).alias("_hot"))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()  # of the same counts, so the table is read once
+    hot = F.col(key).isNotNull() & (F.col("_n") * ways >= total)
+    return counts.filter(hot).select(key, F.lit(True).alias("_hot"))
 
 
 def spread_left_join(

@@ -14,7 +14,7 @@ from parcelyard.lazy import LazyTables
 from parcelyard.plans import checks, insights, reports, summary
 from parcelyard.operators.observed import CountedRows
 from parcelyard.plans.checks import WithRaw
-from parcelyard.plans.models import MARTS, Models
+from parcelyard.plans.models import INTERMEDIATE, MARTS, STAGING, Models
 from parcelyard.plans.staging import stage
 from parcelyard.sources import demo
 from parcelyard.sources.calendar import observed_range
@@ -284,6 +284,30 @@ _add(
        FROM fct_orders GROUP BY delivery_severity""",
     _digits(rates="avg_delay_days"),
 )
+
+
+def _rows_of_all_views(i: Inputs) -> DataFrame:
+    """Rows and distinct rows of every view, all asked by name."""
+    register_views(i.models)
+    counts = [
+        f"SELECT '{name}' AS view_name, count(*) AS n_rows, (SELECT count(*) FROM "
+        f"(SELECT DISTINCT * FROM {name})) AS n_distinct FROM {name}"
+        for name in STAGING + INTERMEDIATE + MARTS
+    ]
+    return reduce(DataFrame.unionAll, [i.spark.sql(count) for count in counts])
+
+
+_add(
+    "snk1_all_views",
+    _rows_of_all_views,
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS view_name, count(*) AS n_rows, (SELECT count(*) FROM "
+        f"(SELECT DISTINCT * FROM {name})) AS n_distinct FROM {name}"
+        for name in STAGING + INTERMEDIATE + MARTS
+    ),
+)
+
+
 def _findings(i: Inputs) -> DataFrame:
     """Violations per check over stored tables of which the repeated item numbers are made unique."""
     items = i.staged["stg_order_items"].dropDuplicates(["order_id", "order_item_id"])
@@ -652,6 +676,59 @@ _add(
         FROM fct_orders WHERE {_IN_MONTH} AND customer_state IN ('asia', 'europe')""",
 )
 
+# What the cards of the filtered dashboard show, not just how many rows.
+_CARDS: dict[str, tuple[str, str, dict[str, int]]] = {
+    "severity_by_month": (
+        "Late-Delivery Severity by Month",
+        f"""SELECT {_MONTH_OF} AS month, delivery_severity, count(*) AS order_count
+            FROM fct_orders WHERE {_IN_MONTH} GROUP BY ALL""",
+        {},
+    ),
+    "slowest_sellers": (
+        "On-Time Rate by Seller (Worst First)",
+        f"""SELECT seller_id, seller_state, seller_city, on_time_rate, order_volume,
+                   avg_review_score, time_period
+            FROM mart_seller_performance WHERE order_volume >= 5 AND {_SELLER_MONTHS}
+            ORDER BY on_time_rate, seller_id, time_period LIMIT 50""",
+        _SELLER,
+    ),
+    "cost_by_month": ("Logistics Cost by Month", _COST_BY_MONTH % _IN_MONTH, _COST_DIGITS),
+    "severity_by_place": (
+        "Late-Delivery Severity by Customer State/City",
+        _BY_PLACE % f"{_IN_MONTH} AND customer_state IN ('asia', 'europe')",
+        {},
+    ),
+    "freight_by_seller": (
+        "Freight Ratio by Seller",
+        f"""SELECT seller_id, seller_state, seller_city, time_period, order_volume,
+                   total_freight_value, freight_ratio
+            FROM mart_seller_freight WHERE {_SELLER_MONTHS}""",
+        _SELLER_FREIGHT,
+    ),
+    "freight_by_state": (
+        "Freight Ratio by Customer State",
+        f"""SELECT customer_state, avg(freight_ratio) AS avg_freight_ratio,
+                   sum(total_freight_value) AS total_freight_value, count(*) AS order_count
+            FROM fct_orders WHERE {_IN_MONTH} AND customer_state IN ('asia', 'europe')
+            GROUP BY customer_state""",
+        _digits("total_freight_value", "avg_freight_ratio"),
+    ),
+}
+_FILTERS = reports.Filters(month=MONTH, customer_state=STATES, seller_id=SELLERS)
+for _card, (_title, _sql, _card_digits) in _CARDS.items():
+    _add(
+        f"flt5_card_{_card}",
+        lambda i, t=_title: reports.dashboard(i.models, "Problem Analysis", _FILTERS)[t],
+        _sql,
+        _card_digits,
+    )
+    _add(
+        f"flt5_stored_card_{_card}",
+        lambda i, t=_title: summary.dashboard(i.marts, "Problem Analysis", _FILTERS)[t],
+        _sql,
+        _card_digits,
+    )
+
 # --- insights ------------------------------------------------------------------
 
 _add(
