@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parcelyard import schema as S
 from parcelyard.functions.metrics import month_start
 from parcelyard.operators import constraints as C
-from parcelyard.operators.compare import count_mismatch, row_differences
+from parcelyard.operators.compare import count_mismatch, differing_rows
 from parcelyard.operators.observed import CountedRows
 
 # The declared constraints, by table. ``raw.`` tables are the
@@ -326,7 +326,7 @@ def item_fact_differences(t: Tables) -> DataFrame:
     that holds more of it, so a changed price shows as two rows.
     """
     keys, values = ["order_id", "order_item_id"], ["price", "freight_value"]
-    broken = row_differences(t["stg_order_items"], t["fct_order_items"], keys, values)
+    broken = differing_rows(t["stg_order_items"], t["fct_order_items"], keys, values)
     in_stg = F.col("left_rows") > F.col("right_rows")
     sides = {"stg_price": "price", "stg_freight_value": "freight_value"}
     return broken.select(
