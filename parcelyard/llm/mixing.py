@@ -8,6 +8,7 @@ only global state is one residual per domain.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Sequence
 from functools import partial
 
@@ -101,10 +102,16 @@ def domain(labels: DataFrame) -> Column:
 
 
 DOMAINS = 4
+#: Rounds of the fit at most.
+MOST_ROUNDS = 40
 
 
 def labelled_texts(
-    df: DataFrame, labels: DataFrame, most_rows: int = MOST_LABELLED, key: str = "doc_id"
+    df: DataFrame,
+    labels: DataFrame,
+    most_rows: int = MOST_LABELLED,
+    key: str = "doc_id",
+    text: str = "text",
 ) -> tuple[list[str], list[int]]:
     """At most ``most_rows`` labelled texts and their domains, those with the smallest key hash.
 
@@ -121,7 +128,7 @@ def labelled_texts(
         .limit(most_rows)
     )
     rows = (
-        df.select(key, text_or_empty().alias("text"))
+        df.select(key, text_or_empty(text).alias("text"))
         .join(F.broadcast(picked), key)
         .orderBy(order, key, F.xxhash64("text"))
         .limit(most_rows)
@@ -145,7 +152,11 @@ def posteriors(df: DataFrame, weights: np.ndarray, key: str = "doc_id", text: st
 
 
 def fit_rates(
-    members: DataFrame, targets: Sequence[float], most_rounds: int = 40, tolerance: float = 1e-3, most_rate: float | None = 4.0
+    members: DataFrame,
+    targets: Sequence[float],
+    most_rounds: int = MOST_ROUNDS,
+    tolerance: float = 1e-3,
+    most_rate: float | None = None,
 ) -> tuple[DataFrame, list[float], list[float]]:
     """``members`` with a ``rate``, the domain totals reached, and the targets as totals.
 
@@ -156,7 +167,8 @@ def fit_rates(
     steps with momentum. Every round is one aggregate over the stored documents; a
     document's rate follows from the residuals of the rounds before, which are a few
     numbers each. Stops once no domain misses its target by more than ``tolerance`` of
-    all tokens.
+    all tokens, or after ``most_rounds``; a miss, which also comes of targets that no
+    rates meet, is told by a warning with both totals.
     """
     k = len(targets)
     a = [F.col("n_tokens") * F.get(F.col("posterior"), F.lit(i)) for i in range(k)]
@@ -199,6 +211,9 @@ def fit_rates(
         ).first()
         reached = np.array([found[f"r{i}"] for i in range(k)])
         ahead = np.array([found[f"a{i}"] for i in range(k)])
+    if np.abs(reached - aim).max() > tolerance * total.sum():
+        missed = f"reached {np.round(reached).tolist()}, wanted {np.round(aim).tolist()}"
+        warnings.warn(f"the domains' token totals miss their targets: {missed}", stacklevel=2)
     rated = fitted.withColumn("rate", F.col("_state.rate")).drop("_state")
     return rated, reached.tolist(), aim.tolist()
 
@@ -211,7 +226,13 @@ def copies(rate: Column, *key: str) -> Column:
 
 
 def mix(
-    df: DataFrame, labels: DataFrame, targets: Sequence[float] | None = None, key: str = "doc_id", text: str = "text"
+    df: DataFrame,
+    labels: DataFrame,
+    targets: Sequence[float] | None = None,
+    key: str = "doc_id",
+    text: str = "text",
+    most_rate: float | None = None,
+    most_rounds: int = MOST_ROUNDS,
 ) -> DataFrame:
     """(doc, version, n_tokens, posterior, rate, n_copies), one row for each row of ``df``.
 
@@ -220,9 +241,10 @@ def mix(
     posteriors see them. A null or empty text has no tokens, its posterior is the
     classifier's bias, its rate stays 1. Repeated rows get the same rate. With no
     labels the posterior is uniform and any target is out of reach, so that rates move
-    together at most.
+    together at most. Rates have no upper bound unless ``most_rate`` names one; totals that
+    miss their targets raise a warning.
     """
-    weights = fit_classifier(*labelled_texts(df, labels, key=key), DOMAINS)
+    weights = fit_classifier(*labelled_texts(df, labels, key=key, text=text), DOMAINS)
     members = stored(posteriors(df, weights, key, text))
     if targets is None:
         totals = members.agg(
@@ -231,7 +253,7 @@ def mix(
         natural = np.array([totals[i] or 0.0 for i in range(DOMAINS)])
         natural = natural / natural.sum() if natural.sum() else np.full(DOMAINS, 1 / DOMAINS)
         targets = [0.5 * x + (0.5 if i == GOOD else 0.0) for i, x in enumerate(natural)]
-    rated, _, _ = fit_rates(members, targets)
+    rated, _, _ = fit_rates(members, targets, most_rounds, most_rate=most_rate)
     return rated.withColumn("n_copies", copies(F.col("rate"), "doc", "version"))
 
 
