@@ -71,59 +71,97 @@ def loss_and_gradient(weights: Weights, inputs: np.ndarray, targets: np.ndarray)
     n, length = inputs.shape
     away = _distances(length)
     later = away < 0
+    root = float(np.sqrt(WIDTH))
+    kind = weights["inputs"].dtype
     e = weights["inputs"][inputs]
     q, k, v = (e @ weights[name] for name in ("query", "key", "value"))
-    scores = q @ k.transpose(0, 2, 1) / np.sqrt(WIDTH) + weights["distance"][np.maximum(away, 0)]
-    scores[:, later] = -1e9
-    scores += np.where(inputs == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
-    scores -= scores.max(2, keepdims=True)
-    a = np.exp(scores)
+    a = q @ k.transpose(0, 2, 1)
+    a /= root
+    a += np.where(later, kind.type(-1e9), weights["distance"][np.maximum(away, 0)])
+    pad = inputs == PAD
+    edge = np.flatnonzero(pad.any(1))
+    a[edge] += np.where(pad[edge], kind.type(-1e9), kind.type(0))[:, None, :]
+    a -= a.max(2, keepdims=True)
+    np.exp(a, out=a)
     a /= a.sum(2, keepdims=True)
-    z = np.concatenate([a @ v, e], 2)
-    logits = z @ weights["out"] + weights["bias"]
-    logits -= logits.max(2, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(2, keepdims=True)
-    real = targets >= 0
-    total = max(1, int(real.sum()))
-    rows, cols = np.nonzero(real)
-    loss = float(-np.log(p[rows, cols, targets[rows, cols]] + 1e-12).sum() / total)
-
-    d_logits = p * real[:, :, None]
-    d_logits[rows, cols, targets[rows, cols]] -= 1
-    d_logits /= total
-    flat_d = d_logits.reshape(-1, CLASSES)
-    g = {"out": z.reshape(-1, 2 * WIDTH).T @ flat_d, "bias": flat_d.sum(0)}
-    d_z = d_logits @ weights["out"].T
+    z = np.concatenate([a @ v, e], 2).reshape(-1, 2 * WIDTH)
+    p = z @ weights["out"]
+    p += weights["bias"]
+    p -= p.max(1, keepdims=True)
+    np.exp(p, out=p)
+    p /= p.sum(1, keepdims=True)
+    wanted = targets.ravel()
+    rows = np.flatnonzero(wanted >= 0)
+    cols = wanted[rows]
+    total = max(1, len(rows))
+    loss = float(-np.log(p[rows, cols] + 1e-12).sum() / total)
+
+    p[rows, cols] -= 1
+    if len(rows) < len(p):
+        p[wanted < 0] = 0
+    p /= total
+    g = {"out": z.T @ p, "bias": p.sum(0)}
+    d_z = (p @ weights["out"].T).reshape(n, length, 2 * WIDTH)
     d_o, d_e = d_z[:, :, :WIDTH], d_z[:, :, WIDTH:].copy()
     d_v = a.transpose(0, 2, 1) @ d_o
-    d_a = d_o @ v.transpose(0, 2, 1)
-    d_s = a * (d_a - (d_a * a).sum(2, keepdims=True))
-    g["distance"] = np.bincount(
-        np.maximum(away, 0)[~later], d_s.sum(0)[~later], WINDOW
-    ).astype(np.float32)
-    d_s /= np.sqrt(WIDTH)
+    d_s = d_o @ v.transpose(0, 2, 1)
+    d_s -= np.einsum("nij,nij->ni", d_s, a)[:, :, None]
+    d_s *= a
+    g["distance"] = np.bincount(away[~later], d_s.sum(0)[~later], WINDOW).astype(kind)
+    d_s /= root
     for name, d in (("query", d_s @ k), ("key", d_s.transpose(0, 2, 1) @ q), ("value", d_v)):
         g[name] = e.reshape(-1, WIDTH).T @ d.reshape(-1, WIDTH)
         d_e += d @ weights[name].T
     g["inputs"] = np.zeros_like(weights["inputs"])
-    for c in range(WIDTH):
-        g["inputs"][:, c] = np.bincount(inputs.ravel(), d_e[:, :, c].ravel(), BUCKETS + 2)
+    order = np.argsort(inputs.ravel().astype(np.uint16), kind="stable")
+    met = inputs.ravel()[order]
+    first = np.flatnonzero(np.diff(met, prepend=-1))
+    g["inputs"][met[first]] = np.add.reduceat(d_e.reshape(-1, WIDTH)[order], first, axis=0)
     return loss, g
 
 
-def train(weights: Weights, inputs: np.ndarray, targets: np.ndarray, batch: int = 16, rate: float = 0.01) -> Weights:
-    """One pass of Adam over the windows, in their order."""
-    found = {n: w.copy() for n, w in weights.items()}
-    mean = {n: np.zeros_like(w) for n, w in found.items()}
-    square = {n: np.zeros_like(w) for n, w in found.items()}
-    for step, at in enumerate(range(0, len(inputs), batch), 1):
-        _, g = loss_and_gradient(found, inputs[at : at + batch], targets[at : at + batch])
-        for n in found:
-            mean[n] += 0.1 * (g[n] - mean[n])
-            square[n] += 0.01 * (g[n] ** 2 - square[n])
-            found[n] -= rate * (mean[n] / (1 - 0.9**step)) / (np.sqrt(square[n] / (1 - 0.99**step)) + 1e-6)
-    return found
+class Trainer:
+    """Adam over windows in the order in which they come, ``batch`` of them a step."""
+
+    def __init__(self, weights: Weights, batch: int = 64, rate: float = 0.01):
+        self.weights = {n: w.copy() for n, w in weights.items()}
+        self.mean = {n: np.zeros_like(w) for n, w in weights.items()}
+        self.square = {n: np.zeros_like(w) for n, w in weights.items()}
+        self.batch, self.rate = batch, rate
+        self.steps = self.windows = 0
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, inputs: np.ndarray, targets: np.ndarray) -> None:
+        """More windows; those that do not fill a step wait for the next ones."""
+        self.windows += len(inputs)
+        self.waiting.append((inputs, targets))
+        self.held += len(inputs)
+        if self.held < self.batch:
+            return
+        x, y = (np.concatenate(part) for part in zip(*self.waiting))
+        full = len(x) - len(x) % self.batch
+        for at in range(0, full, self.batch):
+            self._step(x[at : at + self.batch], y[at : at + self.batch])
+        self.waiting, self.held = [(x[full:], y[full:])], len(x) - full
+
+    def _step(self, inputs: np.ndarray, targets: np.ndarray) -> None:
+        _, g = loss_and_gradient(self.weights, inputs, targets)
+        self.steps += 1
+        even, grown = 1 - 0.9**self.steps, float(np.sqrt(1 - 0.99**self.steps))
+        for n, w in self.weights.items():
+            mean, square = self.mean[n], self.square[n]
+            mean += 0.1 * (g[n] - mean)
+            square += 0.01 * (g[n] ** 2 - square)
+            w -= (self.rate / even) * mean / (np.sqrt(square) / grown + 1e-6)
+
+    def summed(self) -> np.ndarray:
+        """The number of windows, and the weights after the last of them times that number."""
+        if self.held:
+            self._step(*(np.concatenate(part) for part in zip(*self.waiting)))
+            self.waiting, self.held = [], 0
+        values = flat(self.weights).astype(np.float64)
+        return np.concatenate([[1.0], values]) * self.windows
 
 
 class Scorer:

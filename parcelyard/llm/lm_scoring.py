@@ -5,12 +5,16 @@ texts. The model score is the log probability of a text's subword ids: a causal
 attention model gives the class of the next id, and the corpus counts of the ids give
 its share within the class. All training texts are counted, and the attention weights
 are trained on windows that cover each of them from start to end.
+
+Training runs in synchronous rounds. Pieces of texts are dealt by hash to shards of about
+the same size, so the number and order of files, partitions and tasks do not matter. All
+shards of a round start from the same weights, are trained one by one in the order of
+their hashes, and the mean of what they reach, by size, starts the next round.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +24,7 @@ from pyspark.sql import functions as F
 from parcelyard.llm import attention as at
 from parcelyard.llm import textarrays as ta
 from parcelyard.llm.bytepair import kept_encoder
-from parcelyard.llm.storage import stored, text_or_empty
+from parcelyard.llm.storage import shared_folder, stored, text_or_empty
 
 SMOOTHING = 0.1
 #: Words whose counts are broadcast; the counts of all others are joined.
@@ -30,9 +34,14 @@ IDS = 50257
 END_ID = 50256
 #: The end token's name among the hashed words.
 END_WORD = np.uint64(0x9D5C0FB1A1F3E7C5)
-PASSES = 1
-#: Windows of a step of training, and ids that are made into windows at once.
-STEP_WINDOWS, WINDOW_IDS = 64, 1 << 19
+#: Marks the start of a text where the id before a target is kept.
+BEGIN_ID = 65535
+#: Rounds of training, and the step size of the first one; it falls to an eighth of that.
+ROUNDS, RATE = 8, 0.01
+#: Ids of a piece of a text, of a shard, and the windows of a step of training.
+PIECE_IDS, SHARD_IDS, STEP_WINDOWS = 4096, 1 << 20, 64
+#: Tasks that add up the weights of a round.
+SUMMING = 16
 
 
 def held_out(key: str) -> Column:
@@ -122,45 +131,111 @@ def _id_count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["id", "n"])
 
 
+def dealt_pieces(learned: DataFrame, shards: int, parts: int) -> DataFrame:
+    """(part, shard, place, ids): texts cut into pieces, each behind the id before it.
+
+    A shard and the place in it come from a hash of key, text and number of the piece.
+    Shards are dealt to ``parts`` in turn.
+    """
+    whole = F.concat(F.lit(BEGIN_ID.to_bytes(2, "little")), "ids")
+    cut = learned.select("doc", whole.alias("whole"), F.xxhash64("doc", "ids").alias("name")).select(
+        "name", "whole", F.explode(F.expr(f"sequence(0L, (length(whole) - 3) div {2 * PIECE_IDS})")).alias("n")
+    )
+    ids = F.expr(f"substring(whole, cast({2 * PIECE_IDS} * n + 1 as int), {2 * PIECE_IDS + 2})")
+    place = F.xxhash64("name", "n")
+    shard = F.pmod(F.xxhash64(F.lit("shard"), "name", "n"), F.lit(shards))
+    return cut.select(
+        (shard % parts).cast("int").alias("part"), shard.alias("shard"), place.alias("place"), ids.alias("ids")
+    )
+
+
 def training_arrays(ids: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Inputs and target classes of the windows that cover the texts, each id a target once.
+    """Inputs and target classes of the windows that cover some pieces, each id a target once.
 
-    An input is the id before its target, across windows too; a text begins with the start.
+    A piece is the id before its first target, or the mark of a start, and its targets.
     """
+    counts = counts - 1
     rows = -(-counts // at.WINDOW)
     base = (np.cumsum(rows) - rows) * at.WINDOW
     begin = np.cumsum(counts) - counts
-    place = np.arange(len(ids)) + np.repeat(base - begin, counts)
+    place = np.arange(int(counts.sum())) + np.repeat(base - begin, counts)
+    head = np.cumsum(counts + 1) - counts - 1
+    last = head + counts
     inputs = np.full(int(rows.sum()) * at.WINDOW, at.PAD, np.int32)
     targets = np.full(len(inputs), -1, np.int64)
-    inputs[place[1:]] = at.bucket(ids[:-1])
-    inputs[base] = at.START
-    targets[place] = classes[ids]
+    before, after = np.delete(ids, last), np.delete(ids, head)
+    inputs[place] = np.where(before == BEGIN_ID, at.START, at.bucket(before))
+    targets[place] = classes[after]
     return inputs.reshape(-1, at.WINDOW), targets.reshape(-1, at.WINDOW)
 
 
 def _trained_batches(
     batches: Iterator[pa.RecordBatch], values: np.ndarray, classes: np.ndarray, rate: float
 ) -> Iterator[pa.RecordBatch]:
-    """Ids of texts to the weights after one pass over them, each times the number of windows."""
-    weights, seen = at.shaped(values), 0
-    rng = np.random.default_rng(1)
+    """Pieces in the order of shards to one row: the trained weights of all shards, added up.
+
+    The weights of a shard count as often as it has windows; the first value is their number.
+    """
+    total, shard, model = np.zeros(len(values) + 1), None, None
     for batch in batches:
         if not batch.num_rows:
             continue
         whole, sizes = _ids(batch.column("ids"))
         bounds = np.concatenate([[0], np.cumsum(sizes)])
-        for a, b in ta.pieces(bounds, WINDOW_IDS):
-            inputs, targets = training_arrays(whole[bounds[a] : bounds[b]], sizes[a:b], classes)
-            order = rng.permutation(len(inputs))
-            weights = at.train(weights, inputs[order], targets[order], batch=STEP_WINDOWS, rate=rate)
-            seen += len(inputs)
-    if seen:
-        out = at.flat(weights).astype(np.float64) * seen
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(-1, len(out), dtype=np.int32)), pa.array(np.concatenate([[float(seen)], out]))],
-            ["cell", "value"],
+        names = batch.column("shard").to_numpy()
+        firsts = np.flatnonzero(np.diff(names, prepend=names[0] - 1))
+        for a, b in zip(firsts, [*firsts[1:], len(names)]):
+            if model is None or names[a] != shard:
+                if model is not None:
+                    total += model.summed()
+                shard, model = names[a], at.Trainer(at.shaped(values), STEP_WINDOWS, rate)
+            model.add(*training_arrays(whole[bounds[a] : bounds[b]], sizes[a:b], classes))
+    if model is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([(total + model.summed()).tobytes()], pa.binary())], ["total"])
+
+
+def _summed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for row in batch.column("total"):
+            one = np.frombuffer(row.as_buffer(), np.float64)
+            total = one.copy() if total is None else total + one
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
+
+
+def trained(learned: DataFrame, n_ids: int, values: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """``values`` after all rounds over the ``n_ids`` ids of ``learned`` (doc, ids).
+
+    Each round takes one part of the shards, or all of its turn again where there are
+    fewer shards than rounds, so every id is trained on at least once.
+    """
+    if not n_ids:
+        return values
+    shards = -(-n_ids // SHARD_IDS)
+    parts = min(ROUNDS, shards)
+    spark = learned.sparkSession
+    path = shared_folder(spark)
+    pieces = dealt_pieces(learned, shards, parts)
+    pieces.write.partitionBy("part").parquet(path)
+    dealt = spark.read.schema(pieces.schema).parquet(path)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    for n_round in range(ROUNDS):
+        turn = dealt.filter(F.col("part") == n_round % parts).select("shard", "place", "ids")
+        start = spark.sparkContext.broadcast((values, classes))
+        rate = RATE * (1 / 8) ** (n_round / max(1, ROUNDS - 1))
+        sums = (
+            turn.repartition(min(-(-shards // parts), tasks), "shard")
+            .sortWithinPartitions("shard", "place")
+            .mapInArrow(lambda batches, s=start, r=rate: _trained_batches(batches, *s.value, r), "total binary")
         )
+        if shards > SUMMING * parts:
+            sums = sums.repartition(SUMMING).mapInArrow(_summed_batches, "total binary")
+        total = np.sum([np.frombuffer(r["total"], np.float64) for r in sums.collect()], axis=0)
+        start.unpersist()
+        if np.ndim(total):
+            values = total[1:] / total[0]
+    return values
 
 
 def _scored_batches(
@@ -243,15 +318,9 @@ def score_texts(
     for row in ids.groupBy("id").agg(F.sum("n").alias("n")).collect():
         id_counts[row["id"]] = row["n"]
     classes, shares, class_shares = class_table(id_counts)
-    values = at.flat(at.initial(class_shares))
-    for n_pass in range(PASSES):
-        parts = learned.select("ids").mapInArrow(
-            partial(_trained_batches, values=values, classes=classes, rate=0.01 / (1 + n_pass)),
-            "cell int, value double",
-        )
-        sums = {r["cell"]: r["value"] for r in parts.groupBy("cell").agg(F.sum("value").alias("value")).collect()}
-        if sums:
-            values = np.array([sums[i] for i in range(len(values))]) / sums[-1]
+    values = trained(
+        learned.select("doc", "ids"), int(id_counts.sum()), at.flat(at.initial(class_shares)), classes
+    )
 
     model = spark.sparkContext.broadcast((values, classes, shares))
     scored = prepared.drop("rare").mapInArrow(

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from parcelyard.llm import attention as at
 from parcelyard.llm import lm_scoring as lm
@@ -101,39 +102,77 @@ def test_class_shares_are_probabilities():
     assert total.sum() == pytest.approx(1) and classes.max() < at.CLASSES
 
 
-def test_training_lowers_held_out_loss(spark, monkeypatch):
+def _paired_documents(spark, n=1500):
     rng = random.Random(3)
     pairs = {w: rng.choice("abcdefghij") * 3 for w in "klmnopqrst"}
     make = lambda: " ".join(x for w in rng.choices(list(pairs), k=60) for x in (w * 3, pairs[w]))
-    df = helpers.documents(spark, [(i, make()) for i in range(1500)])
-    trained = lm.score_texts(df, PATH).filter("held_out").agg({"score": "sum"}).first()[0]
-    monkeypatch.setattr(lm, "PASSES", 0)
-    untrained = lm.score_texts(df, PATH).filter("held_out").agg({"score": "sum"}).first()[0]
-    assert trained > 0.97 * untrained
+    return helpers.documents(spark, [(i, make()) for i in range(n)])
 
 
-def test_training_reads_every_id_of_a_text_once():
-    import pyarrow as pa
+def _held_out_score(df):
+    return lm.score_texts(df, PATH).filter("held_out").agg({"score": "sum"}).first()[0]
 
+
+def test_training_beats_the_counts_alone_whatever_the_layout(spark, monkeypatch):
+    df = _paired_documents(spark)
+    monkeypatch.setattr(lm, "SHARD_IDS", 40_000)
+    found = [_held_out_score(df.repartition(files)) for files in (1, 8, 64)]
+    found.append(_held_out_score(df.repartition(5).orderBy(F.desc("doc_id"))))
+    assert found == pytest.approx([found[0]] * 4, rel=1e-6)
+    monkeypatch.setattr(lm, "RATE", 0.0)
+    assert found[0] > 0.75 * _held_out_score(df)
+
+
+def test_rounds_repeat_the_shards_of_a_small_corpus(spark, monkeypatch):
+    df = _paired_documents(spark, 150)
+    one = _held_out_score(df)
+    monkeypatch.setattr(lm, "ROUNDS", 1)
+    assert one > 0.95 * _held_out_score(df)
+
+
+@pytest.mark.parametrize("shards, parts", [(1, 1), (7, 3)])
+def test_pieces_hold_every_id_once_behind_the_one_before(spark, monkeypatch, shards, parts):
     rng = np.random.default_rng(6)
-    counts = np.array([1, 4096 * 3 + 7, at.WINDOW, at.WINDOW + 1, 2])
-    ids = rng.integers(0, lm.IDS, counts.sum()).astype("<u2")
+    monkeypatch.setattr(lm, "PIECE_IDS", 64)
+    texts = [rng.integers(0, lm.IDS, n).astype("<u2") for n in (1, 64 * 3 + 7, 64, 65, 2, 32, 33)]
+    texts += [texts[1], texts[1]]
+    rows = [(i if i < 8 else 1, bytearray(t.tobytes())) for i, t in enumerate(texts)]
+    learned = spark.createDataFrame([*rows, (None, rows[1][1])], "doc long, ids binary")
+    texts.append(texts[1])
     classes = rng.integers(0, at.CLASSES, lm.IDS)
-    ends = np.cumsum(counts)
-    column = pa.array([ids[e - n : e].tobytes() for e, n in zip(ends, counts)], pa.binary())
-    seen = []
-
-    def train(weights, inputs, targets, **other):
-        seen.append((inputs, targets))
-        return weights
-
-    with pytest.MonkeyPatch.context() as m:
-        m.setattr(at, "train", train)
-        batch = pa.RecordBatch.from_arrays([column], ["ids"])
-        list(lm._trained_batches([batch], at.flat(at.initial(np.full(at.CLASSES, 1 / at.CLASSES))), classes, rate=0.01))
-    got = Counter()
-    for inputs, targets in seen:
-        got.update(zip(inputs[targets >= 0].tolist(), targets[targets >= 0].tolist()))
-    starts = set((ends - counts).tolist())
-    before = [at.START if i in starts else int(at.bucket(ids[i - 1 : i])[0]) for i in range(len(ids))]
-    assert got == Counter(zip(before, classes[ids].tolist()))
+    got, used = Counter(), set()
+    for row in lm.dealt_pieces(learned, shards, parts).collect():
+        assert row["part"] == row["shard"] % parts and 0 <= row["shard"] < shards
+        used.add(row["shard"])
+        ids = np.frombuffer(row["ids"], "<u2")
+        inputs, targets = lm.training_arrays(ids, np.array([len(ids)]), classes)
+        real = targets >= 0
+        assert ((inputs != at.PAD) == real).all()
+        got.update(zip(inputs[real].tolist(), targets[real].tolist()))
+    want = Counter()
+    for t in texts:
+        before = [at.START, *at.bucket(t[:-1]).tolist()]
+        want.update(zip(before, classes[t].tolist()))
+    assert got == want and len(used) > shards // 2
+
+
+def test_several_pieces_fill_windows_like_each_alone():
+    rng = np.random.default_rng(8)
+    classes = rng.integers(0, at.CLASSES, lm.IDS)
+    pieces = [rng.integers(0, lm.IDS, n).astype("<u2") for n in (2, 33, 34, 100)]
+    alone = [lm.training_arrays(p, np.array([len(p)]), classes) for p in pieces]
+    both = lm.training_arrays(np.concatenate(pieces), np.array([len(p) for p in pieces]), classes)
+    for i in range(2):
+        assert (both[i] == np.concatenate([a[i] for a in alone])).all()
+
+
+def test_trainer_takes_the_same_steps_however_windows_arrive():
+    rng = np.random.default_rng(9)
+    start = at.initial(np.full(at.CLASSES, 1 / at.CLASSES))
+    x = rng.integers(0, at.BUCKETS, (37, at.WINDOW)).astype(np.int32)
+    y = rng.integers(0, at.CLASSES, x.shape)
+    whole, parts = at.Trainer(start, 8), at.Trainer(start, 8)
+    whole.add(x, y)
+    for a, b in ((0, 3), (3, 20), (20, 21), (21, 37)):
+        parts.add(x[a:b], y[a:b])
+    assert (whole.summed() == parts.summed()).all() and whole.steps == parts.steps == 5
