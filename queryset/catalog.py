@@ -18,6 +18,7 @@ from parcelyard.plans.models import INTERMEDIATE, MARTS, STAGING, Models
 from parcelyard.plans.staging import stage
 from parcelyard.sources import demo
 from parcelyard.sources.calendar import observed_range
+from parcelyard.sources.clustered import write_clustered_marts
 from parcelyard.sources.raw import import_raw, raw_counts, read_raw_table, write_raw_csv
 from parcelyard.sources.tables import (
     ChecksFailed,
@@ -49,9 +50,11 @@ ORDER_DATES = (
 MONTH = "1996-03"
 STATES = ["asia", "europe"]
 SELLERS = ["3", "7"]
+CITY = "nation_12"
 
 
 _STORED_MARTS: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_CLUSTERED_MARTS: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 class Inputs:
@@ -94,6 +97,14 @@ class Inputs:
             _STORED_MARTS[key] = write_marts(self.models, self.scratch())
         return _STORED_MARTS[key]
 
+    @cached_property
+    def clustered(self) -> dict[str, DataFrame]:
+        """Copies of the stored marts by place and by seller, stored once like these."""
+        key = (self.spark.sparkContext.applicationId, self.directory)
+        if key not in _CLUSTERED_MARTS:
+            _CLUSTERED_MARTS[key] = write_clustered_marts(self.marts, self.scratch())
+        return _CLUSTERED_MARTS[key]
+
     def scratch(self) -> str:
         """A fresh shared folder; one is set only where the session names none."""
         if not self.spark.conf.get("spark.checkpoint.dir", None):
@@ -362,6 +373,20 @@ for _mart in MARTS:
             _MART_DIGITS.get(_mart),
         )
 
+_add(
+    "snk7_clustered_orders",
+    lambda i: i.clustered["fct_orders_by_place"],
+    QUERIES["snk2_stored_orders"].sql,
+    _FREIGHT,
+)
+for _copy in ("mart_seller_performance", "mart_seller_freight"):
+    _add(
+        f"snk7_clustered_{_copy}",
+        lambda i, m=_copy: i.clustered[f"{m}_by_seller"],
+        f"SELECT * FROM {_copy}",
+        _MART_DIGITS[_copy],
+    )
+
 # --- staging, from the all-string tables ---------------------------------------
 
 _parsed("stg1_customers", "stg_customers")
@@ -729,6 +754,44 @@ for _card, (_title, _sql, _card_digits) in _CARDS.items():
         _card_digits,
     )
 
+# Reports on one place or seller from the clustered copies.
+_add(
+    "rpt15_location_drill_down_by_place",
+    lambda i: reports.location_drill_down(i.clustered["fct_orders_by_place"], CITY, STATES[0]),
+    _LOCATION % f"customer_state = '{STATES[0]}' AND customer_city = '{CITY}'",
+    _FREIGHT,
+)
+_add(
+    "flt3_values_by_place",
+    lambda i: reports.severity_by_place(i.clustered["fct_orders_by_place"], MONTH, STATES),
+    _BY_PLACE % f"customer_state IN ('asia', 'europe') AND {_IN_MONTH}",
+)
+_add(
+    "flt4_text_variable_by_place",
+    lambda i: reports.location_drill_down(i.clustered["fct_orders_by_place"], state=STATES[0]),
+    QUERIES["flt4_text_variable"].sql,
+    _FREIGHT,
+)
+_add(
+    "rpt9_slowest_sellers_by_seller",
+    lambda i: reports.slowest_sellers(
+        i.clustered["mart_seller_performance_by_seller"], seller_id=SELLERS, min_orders=1
+    ),
+    """SELECT seller_id, seller_state, seller_city, on_time_rate, order_volume,
+              avg_review_score, time_period
+       FROM mart_seller_performance WHERE order_volume >= 1 AND seller_id IN ('3', '7')
+       ORDER BY on_time_rate, seller_id, time_period LIMIT 50""",
+    _SELLER,
+)
+_add(
+    "rpt17_freight_by_seller_clustered",
+    lambda i: reports.freight_by_seller(
+        i.clustered["mart_seller_freight_by_seller"], seller_id=SELLERS
+    ),
+    QUERIES["rpt17_freight_by_seller"].sql + " WHERE seller_id IN ('3', '7')",
+    _SELLER_FREIGHT,
+)
+
 # --- insights ------------------------------------------------------------------
 
 _add(
