@@ -53,7 +53,7 @@ def held_out(key: str) -> Column:
 def _counted_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = ta.text_bytes(batch.column("text"))
-        for a, b in ta.pieces(offsets, 2 * ta.PIECE_BYTES):
+        for a, b in ta.pieces(offsets):
             found = ta.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], in_lower=True)
             word, n = np.unique(found.hash, return_counts=True)
             yield pa.RecordBatch.from_arrays(
@@ -189,7 +189,9 @@ def _trained_batches(
                 if model is not None:
                     total += model.summed()
                 shard, model = names[a], at.Trainer(at.shaped(values), STEP_WINDOWS, rate)
-            model.add(*training_arrays(whole[bounds[a] : bounds[b]], sizes[a:b], classes))
+            for c, d in ta.pieces(bounds[a : b + 1], 1 << 18):
+                ids = whole[bounds[a + c] : bounds[a + d]]
+                model.add(*training_arrays(ids, sizes[a + c : a + d], classes))
     if model is not None:
         yield pa.RecordBatch.from_arrays([pa.array([(total + model.summed()).tobytes()], pa.binary())], ["total"])
 
@@ -246,7 +248,7 @@ def _scored_batches(
         rest = batch.drop_columns(["ids"])
         whole, sizes = _ids(batch.column("ids")) if batch.num_rows else (np.zeros(0), np.zeros(0, np.int64))
         bounds = np.concatenate([[0], np.cumsum(sizes)])
-        for a, b in ta.pieces(bounds, 1 << 19):
+        for a, b in ta.pieces(bounds, 1 << 18):
             ids, counts = whole[bounds[a] : bounds[b]], sizes[a:b]
             value = scorer.score(ids, classes[ids], counts).astype(np.float64) + shares[ids]
             score = np.add.reduceat(value, np.cumsum(counts) - counts)
