@@ -56,6 +56,17 @@ def test_batches_equal_texts_one_by_one(model):
         assert np.allclose([x["probability"] for x in a], [x["probability"] for x in b], atol=1e-4)
 
 
+def test_a_line_in_many_documents_takes_one_place_in_the_sample(spark):
+    footers = [f"footer {i} of the house" for i in range(40)]
+    rows = [(k, "\n".join([f"line {k} alone", *footers])) for k in range(3000)]
+    found = lc.sample_paragraphs(helpers.documents(spark, rows).repartition(16), most=500)
+    assert len(found) == len(set(found)) == 500
+    assert sum(line.startswith("footer") for line in found) < 40
+    every = lc.sample_paragraphs(helpers.documents(spark, rows), most=5000)
+    assert sorted(every) == sorted({*footers, *(f"line {k} alone" for k in range(3000))})
+    assert every[:500] == found
+
+
 def test_sample_and_training_without_corpus(spark):
     rows = helpers.odd_rows()
     found = lc.sample_paragraphs(helpers.documents(spark, rows), most=10)
