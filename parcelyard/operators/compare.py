@@ -54,7 +54,7 @@ def _counted_by_content(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.filter("left_rows != right_rows")
 
 
-def _digest(columns: Sequence[str], seed: int) -> Column:
+def row_digest(columns: Sequence[str], seed: int) -> Column:
     """A 64-bit hash of a row's values; a null is told from a value and from other nulls."""
     nulls = [F.col(c).isNull() for c in columns]
     return F.xxhash64(F.lit(seed), *[F.col(c) for c in columns], *nulls)
@@ -68,7 +68,7 @@ def _unequal_ranges(tagged: DataFrame, columns: Sequence[str], name: str) -> Dat
     """
     side = F.col("l") - F.col("r")
     sums = [
-        F.sum(side * _digest(columns, seed).cast("decimal(20,0)")).alias(f"_d{seed}")
+        F.sum(side * row_digest(columns, seed).cast("decimal(20,0)")).alias(f"_d{seed}")
         for seed in (1, 2)
     ]
     summed = tagged.groupBy(name).agg(F.sum(side).alias("_n"), *sums)
@@ -86,7 +86,7 @@ def differing_rows(
     read again for what is unequal, so they should be stored.
     """
     columns, (first, second) = [*keys, *values], RANGE_BITS
-    place = _digest(keys, 0)
+    place = row_digest(keys, 0)
     tagged = _tagged(left, right, columns).withColumns(
         {
             "_range": F.shiftrightunsigned(place, 64 - first),

@@ -18,16 +18,23 @@ from parcelyard.functions.metrics import (
 def logistics_score(orders: DataFrame) -> DataFrame:
     """Four components and their weighted mean per purchase month (MRT2).
 
+    The freight bounds are those of single orders over all months: each month keeps
+    its own, and only the month rows are compared.
+    """
+    return score_from_months(month_components(orders))
+
+
+def month_components(orders: DataFrame) -> DataFrame:
+    """What one month's orders give to the score, with the month's own freight bounds.
+
     ``orders`` carries ``seller_count``, the sellers in the order (null without
     items). An order weighs that often in the seller component, which equals
-    averaging over (order, seller) pairs but needs no second pass or join. The
-    freight bounds are those of single orders over all months: each month keeps
-    its own, and only the month rows are compared.
+    averaging over (order, seller) pairs but needs no second pass or join.
     """
     sev = F.col("delivery_severity")
     points = severity_points(sev)
     seller_weight = F.when(points.isNotNull(), F.col("seller_count"))
-    monthly = (
+    return (
         orders.filter("order_purchase_timestamp is not null")
         .groupBy(month_start(F.col("order_purchase_timestamp")).alias("order_month"))
         .agg(
@@ -43,6 +50,10 @@ def logistics_score(orders: DataFrame) -> DataFrame:
             share(sev.isin(S.DATED_SEVERITIES)).alias("delivery_coverage"),
         )
     )
+
+
+def score_from_months(monthly: DataFrame) -> DataFrame:
+    """The score of all months, whose freight costs are placed between the bounds of all."""
     all_months = Window.partitionBy()
     scored = monthly.withColumn(
         "logistics_cost_score",

@@ -62,17 +62,26 @@ def mart_seller_freight(freight: DataFrame, sellers: DataFrame) -> DataFrame:
     )
 
 
-def mart_seller_performance(
-    pairs: DataFrame, outcomes: DataFrame, sellers: DataFrame
-) -> DataFrame:
-    """Volume, on-time rate and review per seller and purchase month (MRT4)."""
-    monthly = _by_month(
+def seller_months(pairs: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Volume, on-time rate and review per seller and purchase month."""
+    return _by_month(
         pairs.select("order_id", "seller_id"), outcomes, "delivery_severity", "review_score"
     ).agg(
         F.count(F.lit(1)).alias("order_volume"),
         on_time_rate(F.col("delivery_severity")).alias("on_time_rate"),
         F.avg("review_score").alias("avg_review_score"),
     )
+
+
+def mart_seller_performance(
+    pairs: DataFrame, outcomes: DataFrame, sellers: DataFrame
+) -> DataFrame:
+    """:func:`seller_months` with the seller's own city and state (MRT4)."""
+    return with_places(seller_months(pairs, outcomes), sellers)
+
+
+def with_places(monthly: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Monthly outcomes of sellers that are on file, with their city and state."""
     return monthly.join(sellers, "seller_id").select(
         "seller_id",
         "time_period",

@@ -20,6 +20,7 @@ from parcelyard.sources import demo
 from parcelyard.sources.calendar import observed_range
 from parcelyard.sources.clustered import write_clustered_marts
 from parcelyard.sources.raw import import_raw, raw_counts, read_raw_table, write_raw_csv
+from parcelyard.sources.refresh import read_refreshed, refresh_marts
 from parcelyard.sources.tables import (
     ChecksFailed,
     build_and_check,
@@ -39,6 +40,7 @@ from queryset.duckdb_sql import (
     rounded,
     with_tables,
 )
+from queryset.earlier import CHANGED_SQL, earlier
 
 ORDER_DATES = (
     "order_purchase_timestamp",
@@ -387,6 +389,36 @@ for _copy in ("mart_seller_performance", "mart_seller_freight"):
         _MART_DIGITS[_copy],
     )
 
+_REFRESHED: dict[tuple[str, str], tuple[dict[str, DataFrame], DataFrame]] = {}
+
+
+def _refreshed(i: Inputs) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Marts built from an earlier load and refreshed by this one, and the months that took."""
+    key = (i.spark.sparkContext.applicationId, i.directory)
+    if key not in _REFRESHED:
+        path = i.scratch()
+        refresh_marts(earlier(i.models), path)
+        report = refresh_marts(i.models, path)
+        _REFRESHED[key] = read_refreshed(i.spark, path), report
+    return _REFRESHED[key]
+
+
+_add("snk8_refreshed_months", lambda i: _refreshed(i)[1], CHANGED_SQL)
+_add(
+    "snk8_refreshed_orders",
+    lambda i: _refreshed(i)[0]["fct_orders"],
+    QUERIES["snk2_stored_orders"].sql,
+    _FREIGHT,
+)
+for _mart in MARTS:
+    if _mart.startswith("mart_"):
+        _add(
+            f"snk8_refreshed_{_mart}",
+            lambda i, m=_mart: _refreshed(i)[0][m],
+            f"SELECT * FROM {_mart}",
+            _MART_DIGITS[_mart],
+        )
+
 # --- staging, from the all-string tables ---------------------------------------
 
 _parsed("stg1_customers", "stg_customers")
