@@ -3,8 +3,11 @@
 A worklist holds the layers of a text, at first the text itself. Every layer is scanned
 for secrets and then unwrapped: percent and Unicode escapes give one decoded layer,
 every base64 run, also one wrapped over lines, gives others: one for each alignment that
-decodes to enough text, and one for each compressed stream in it. Each
-layer knows which characters of the original text each of its characters comes from.
+decodes to enough text, and one for each compressed stream in it, at whatever byte it begins.
+Bytes that percent or backslash escapes spell are searched for streams too. Decoded bytes are
+read as UTF-8 and, where every other byte is zero, as UTF-16. Raw deflate data has no
+signature and is out of scope. Each layer knows which characters of the original text each
+of its characters comes from.
 The list is done when no layer is new; a layer seen before at the same place is skipped,
 which ends cycles.
 """
@@ -37,6 +40,8 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
+#: Surrogates that do not stand for a byte.
+HALVES = re.compile("[\ud800-\udc7f\udd00-\udfff]")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
@@ -48,6 +53,7 @@ WRAPPED = re.compile(
 WRAPPED_LINE = re.compile(r"(?:^|\\n|[\s>#*;])([A-Za-z0-9+/_-]+={0,2})")
 #: No secret, plain or encoded, is shorter than "token=" and six characters.
 READABLE = re.compile(rb"[\x20-\x7e]{12}")
+WIDE = {"utf-16-le": re.compile(rb"(?:[\x20-\x7e]\x00){12}"), "utf-16-be": re.compile(rb"(?:\x00[\x20-\x7e]){12}")}
 STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P)|\xfd7zXZ\x00|\x28\xb5\x2f\xfd", re.DOTALL)
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(
@@ -79,6 +85,7 @@ class Layer:
 
     def __init__(self, text: str, start: np.ndarray | None, end: np.ndarray | None, path: tuple[str, ...]):
         self.text, self.start, self.end, self.path = text, start, end, path
+        self.span: tuple[int, int] | None = None  #: where all characters come from, if from one place
 
     def origin(self, a: int, b: int) -> tuple[int, int]:
         if self.start is None:
@@ -89,6 +96,8 @@ class Layer:
         """The text and a digest of where its characters come from."""
         if self.start is None:
             return self.text, b""
+        if self.span is not None:
+            return self.text, b"%d:%d" % self.span
         digest = blake2b(self.start.tobytes())
         digest.update(self.end.tobytes())
         return self.text, digest.digest()
@@ -113,7 +122,9 @@ class Layer:
     def inside(self, a: int, b: int, new: str, steps: tuple[str, ...]) -> Layer:
         first, last = self.origin(a, b)
         start, end = (np.broadcast_to(np.int64(x), len(new)) for x in (first, last))
-        return Layer(new, start, end, (*self.path, *steps))
+        layer = Layer(new, start, end, (*self.path, *steps))
+        layer.span = (first, last)
+        return layer
 
 
 def _percent(layer: Layer) -> Layer | None:
@@ -244,7 +255,6 @@ def _unpacked(
     raw: bytes, at: int, reached: list[int], outer: tuple[bytes, ...] = ()
 ) -> Iterator[tuple[tuple[str, ...], bytes]]:
     """Steps and parts of the compressed streams from ``at`` on, those within them unpacked too."""
-    outer = (*outer, blake2b(memoryview(raw)[at:]).digest())
     for step, pieces in _members(raw, at, reached):
         parts = _parts(pieces)
         first = next(parts, b"")
@@ -255,11 +265,47 @@ def _unpacked(
         rest = list(parts)
         whole = b"".join([first, *(part[OVERLAP:] for part in rest)])
         yield (step,), whole
+        outer = (*outer, blake2b(memoryview(raw)[at:]).digest())
         if blake2b(whole).digest() not in outer:
             for steps, part in _unpacked(whole, 0, [], outer):
                 yield (step, *steps), part
 
 
+def _texts(raw: bytes) -> Iterator[tuple[tuple[str, ...], str]]:
+    """Steps and text of bytes, read as UTF-8 and as UTF-16 where they look like it."""
+    if READABLE.search(raw):
+        yield (), raw.decode(errors="replace")
+    found = [(m.start(), code) for code, wide in WIDE.items() if (m := wide.search(raw))]
+    if found:
+        at, code = min(found)
+        yield ("utf16",), raw[at % 2 :].decode(code, errors="replace")
+
+
+def _streams(layer: Layer) -> Iterator[Layer]:
+    """Contents of compressed streams among the bytes that escapes have spelt."""
+    step = layer.path[-1] if layer.path else ""
+    if step == "url":
+        raw = layer.text.encode("utf-8", "surrogateescape" if not HALVES.search(layer.text) else "replace")
+    elif step == "unicode":
+        raw = layer.text.encode("latin-1", "replace")
+    else:
+        return
+    places, after = None, 0
+    for m in STREAM.finditer(raw):
+        if m.start() < after:
+            continue
+        reached: list[int] = []
+        for steps, content in _unpacked(raw, m.start(), reached):
+            for more, text in _texts(content):
+                if places is None and step == "url":  # byte places of the characters
+                    width = [len(c.encode("utf-8", "replace")) for c in layer.text]
+                    places = np.concatenate([[0], np.cumsum(width)])
+                end = max([m.start() + 1, *reached]) if reached else len(raw)
+                a, b = (m.start(), end) if places is None else np.searchsorted(places, (m.start(), end))
+                yield layer.inside(int(a), min(int(b), len(layer.text)), text, (*steps, *more))
+        after = max([after, *reached])
+
+
 def _wrapped_runs(text: str) -> Iterator[tuple[int, int, str]]:
     """Start, end and characters of base64 that is wrapped at one width.
 
@@ -286,15 +332,15 @@ def _base64(layer: Layer) -> Iterator[Layer]:
             raw = base64.b64decode(own + "=" * (-len(own) % 4))
             after = 0
             for m in STREAM.finditer(raw):
-                if m.start() % 3 == 0 and m.start() >= after:
-                    start = a + (shift + m.start() // 3 * 4 if b - a == len(chars) else 0)
+                if m.start() >= after:
+                    start = a + (shift + m.start() * 4 // 3 if b - a == len(chars) else 0)
                     reached = []
                     for steps, content in _unpacked(raw, m.start(), reached):
-                        if READABLE.search(content):
-                            yield layer.inside(start, b, content.decode(errors="replace"), ("base64", *steps))
+                        for more, new in _texts(content):
+                            yield layer.inside(start, b, new, ("base64", *steps, *more))
                     after = max([after, *reached])
-            if READABLE.search(raw):
-                yield layer.inside(a + shift, b, raw.decode(errors="replace"), ("base64",))
+            for more, new in _texts(raw):
+                yield layer.inside(a + shift, b, new, ("base64", *more))
 
 
 def scan(text: str) -> list[tuple[str, int, int, str]]:
@@ -310,7 +356,7 @@ def scan(text: str) -> list[tuple[str, int, int, str]]:
         layer = todo.popleft()
         for kind, a, b in found_in(layer.text):
             spans.setdefault((kind, *layer.origin(a, b)), ">".join(layer.path))
-        for new in (_percent(layer), _unicode(layer), *_base64(layer)):
+        for new in (_percent(layer), _unicode(layer), *_base64(layer), *_streams(layer)):
             if new is not None and (key := new.key()) not in seen:
                 seen.add(key)
                 todo.append(new)

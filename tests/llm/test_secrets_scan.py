@@ -64,6 +64,43 @@ def test_layers_are_unwrapped_and_mapped_back():
     assert ss.scan("%FF%74oken=abcdefgh") == [("assign", 3, 19, "url")]
 
 
+def test_streams_begin_at_any_byte_of_a_run():
+    secret = f"token = {HEX} ".encode() * 3
+    for pack, step in ((gzip.compress, "gzip"), (zlib.compress, "zlib"), (bz2.compress, "bz2"), (lzma.compress, "xz")):
+        for lead in range(8):
+            run = base64.b64encode(bytes(range(200, 200 + lead)) + pack(secret)).decode()
+            text = f"é {run} end"
+            found = [s for s in ss.scan(text) if s[3] == f"base64>{step}"]
+            a = text.index(run)
+            assert {s[0] for s in found} == {"assign", "hex"}, (step, lead)
+            assert {s[1:3] for s in found} == {(a + lead * 4 // 3, a + len(run))}, (step, lead)
+
+
+def test_streams_spelt_by_escapes():
+    raw = gzip.compress(f"token = {HEX}".encode())
+    spelt = {
+        "url": "".join(f"%{b:02X}" for b in raw),
+        "unicode": "".join(f"\\x{b:02x}" for b in raw),
+    }
+    wide = "".join(f"\\u{b:04x}" for b in raw)
+    for step, run in [*spelt.items(), ("url", urllib.parse.quote(raw)), ("unicode", wide)]:
+        text = f"é <{run}> é"
+        a = text.index(run)
+        found = [s for s in ss.scan(text) if s[3]]
+        assert [(s[0], s[3]) for s in found] == [("assign", f"{step}>gzip"), ("hex", f"{step}>gzip")], run
+        assert {s[1:3] for s in found} == {(a, a + len(run))}, run
+    halves = "\\ud800 " + spelt["url"]
+    assert {s[0] for s in ss.scan(halves)} == {"assign", "hex"}
+
+
+def test_wide_characters_within_base64():
+    for code in ("utf-16-le", "utf-16-be", "utf-16"):
+        raw = f"token = {HEX}".encode(code)
+        for packed, path in ((raw, "base64>utf16"), (gzip.compress(raw), "base64>gzip>utf16")):
+            found = {(s[0], s[3]) for s in ss.scan(f"see {base64.b64encode(packed).decode()}")}
+            assert found == {("assign", path), ("hex", path)}, (code, path)
+
+
 def test_cycles_end():
     text = "%2541 %41" * 3 + " " + base64.b64encode(b"A" * 30).decode()
     assert ss.scan(text) == []
