@@ -9,6 +9,7 @@ the paragraph also holds most of the word n-grams of one of the family's templat
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,55 +28,114 @@ TEMPLATES = {
         "Licensed under the MIT license. See the LICENSE file for details.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
         "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.",
+        "The MIT License (MIT)",
+        "MIT License",
+        "SPDX-License-Identifier: MIT",
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS",
+        "Apache License Version 2.0, January 2004",
+        "Apache License 2.0",
+        "SPDX-License-Identifier: Apache-2.0",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
         "You should have received a copy of the GNU General Public License along with this program.",
+        "Licensed under the GNU General Public License v2.0 or later.",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        "GNU General Public License version 2",
+        "Licensed under GPLv2",
+        "Licensed under GPLv3",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
     ),
     "LGPL": (
         "Licensed under the GNU Lesser General Public License.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "Licensed under the GNU Lesser General Public License v2.1 or later.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+        "GNU Lesser General Public License version 3",
+        "Licensed under LGPLv3",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
     ),
     "AGPL": (
         "Licensed under the GNU Affero General Public License.",
         "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "Licensed under the GNU Affero General Public License v3.0 or later.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+        "Licensed under AGPLv3",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
     ),
     "BSD": (
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Licensed under the BSD 2-Clause License.",
+        "BSD 3-Clause License",
+        "SPDX-License-Identifier: BSD-3-Clause",
+    ),
+    "ISC": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "ISC License",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+        "Boost Software License Version 1.0",
+        "SPDX-License-Identifier: BSL-1.0",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License 2.0.",
+        "Mozilla Public License Version 2.0",
+        "SPDX-License-Identifier: MPL-2.0",
     ),
     "CC-BY": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "Creative Commons Attribution 4.0",
+        "SPDX-License-Identifier: CC-BY-4.0",
+    ),
+    "CC-BY-ND": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Creative Commons Attribution-NoDerivatives 4.0",
+        "SPDX-License-Identifier: CC-BY-ND-4.0",
     ),
     "CC-BY-SA": (
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Creative Commons Attribution-ShareAlike 4.0",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
     ),
     "CC-BY-NC": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "Creative Commons Attribution-NonCommercial 4.0",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
     ),
     "CC0": (
         "This work is dedicated to the public domain under CC0 1.0 Universal.",
         "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: CC0-1.0",
     ),
     "Proprietary": (
         "All rights reserved.",
         "Copyright. All rights reserved. No part of this publication may be reproduced without prior written permission of the publisher.",
     ),
 }
+#: Fixed value: a short claim counts only where it ends, not in the midst of a sentence.
+CLAIM = re.compile(rb"all\s+rights\s+reserved\s*(?:[^\w\s]|\Z|\n|by\b|worldwide\b)", re.IGNORECASE)
 FAMILIES = tuple(TEMPLATES)
 UNKNOWN = len(FAMILIES)
 
@@ -84,6 +144,8 @@ SLOTS = 1 << 16
 UNIT = 32
 MOST_PARAGRAPHS = 3000
 LEAST_PROBABILITY, LEAST_SIMILARITY = 0.6, 0.6
+#: Templates of up to four words, seven with their pairs, must be held in full.
+SHORT = 7
 
 #: Letters in lower case; ASCII signs count as blanks, line breaks stay.
 _PLAIN = np.array(
@@ -187,14 +249,16 @@ def examples(paragraphs: list[str], seed: int = 7, variants: int = 40) -> tuple[
     case. Fragments of corpus text with a few template words mixed in are unknown too.
     """
     rng = np.random.default_rng(seed)
-    stock = [w for p in paragraphs for w in p.split()][:20000] or ["text"]
+    stock = [w for p in paragraphs for w in p.split()] or ["text"]
     draw = lambda n: [stock[i] for i in rng.integers(0, len(stock), n)]
     texts, labels = [], []
     cues = [w for family in TEMPLATES.values() for t in family for w in t.split()]
     for k, family in enumerate(FAMILIES):
         for _ in range(variants):
             for template in TEMPLATES[family]:
-                words = [w for w in template.split() if rng.random() > 0.06]
+                words = template.split()
+                if len(_pairs(template)) > SHORT:
+                    words = [w for w in words if rng.random() > 0.06]
                 room = max(0, UNIT - len(words))
                 before, after = rng.integers(0, room // 2 + 1, 2) if rng.random() < 0.6 else (0, 0)
                 text = " ".join([*draw(before), *words, *draw(after)])
@@ -264,32 +328,61 @@ def _pairs(text: str) -> set[tuple[bytes, ...]]:
     return {(w,) for w in words} | set(zip(words, words[1:]))
 
 
+#: Words and pairs of every template.
+NEEDS = {family: [_pairs(template) for template in texts] for family, texts in TEMPLATES.items()}
+
+
+def _held(have: set, need: set) -> float:
+    """The share of a template that a text holds; a short one is held in full or not at all."""
+    share = len(have & need) / len(need)
+    return share if share == 1 or len(need) > SHORT else 0.0
+
+
+def _best_need(have: set, family: str) -> set[tuple[bytes, ...]]:
+    """The words and pairs of the family's template that is held best, the longest of these."""
+    return max(NEEDS[family], key=lambda need: (_held(have, need), len(have & need)))
+
+
 def best_template(text: str, family: str | None = None) -> tuple[str, float]:
-    """The template, of one family or of any, that the text holds the largest share of."""
+    """The family, of all or of the one given, whose templates the text holds best, and how far."""
     have = _pairs(text)
-    shares = [
-        (len(have & need) / len(need), name)
-        for name in ([family] if family else FAMILIES)
-        for need in (_pairs(template) for template in TEMPLATES[name])
-    ]
-    share, name = max(shares)
+    share, name = max((_held(have, _best_need(have, name)), name) for name in ([family] if family else FAMILIES))
     return name, share
 
 
-def _best_need(text: bytes, family: str) -> set[tuple[bytes, ...]]:
-    """The words and pairs of the family's template that the text holds the largest share of."""
-    have = _pairs(text.decode("utf-8", "replace"))
-    return max((_pairs(template) for template in TEMPLATES[family]), key=lambda n: len(have & n) / len(n))
+def confirmed(text: str, family: str, raw: bytes | None = None) -> float:
+    """How far the text holds a template of ``family``; 0 if it does not confirm the family.
+
+    It does not where a template of another family is held better, or as well and is longer,
+    and has all of the words and pairs that speak for this one. ``raw`` are the bytes of the
+    text with its signs, which tell a claim of rights from words within a sentence.
+    """
+    have = _pairs(text)
+    need = _best_need(have, family)
+    share, evidence = _held(have, need), have & need
+    if share < LEAST_SIMILARITY:
+        return 0.0
+    for other in FAMILIES:
+        if other == family:
+            continue
+        for rival in NEEDS[other]:
+            held = _held(have, rival)
+            if held >= share and evidence <= rival and (held > share or len(have & rival) > len(evidence)):
+                return 0.0
+    if family == "Proprietary" and len(evidence) <= SHORT and raw is not None and not CLAIM.search(raw):
+        return 0.0
+    return share
 
 
 def _common(text: bytes, family: str) -> set[tuple[bytes, ...]]:
     """What the text shares with the family's best template."""
-    return _pairs(text.decode("utf-8", "replace")) & _best_need(text, family)
+    have = _pairs(text.decode("utf-8", "replace"))
+    return have & _best_need(have, family)
 
 
 def _first_met(text: bytes, family: str) -> int:
     """The first word of a pair that the family's best template for the text has too."""
-    words, need = text.split(), _best_need(text, family)
+    words, need = text.split(), _best_need(_pairs(text.decode("utf-8", "replace")), family)
     return next((i for i, pair in enumerate(zip(words, words[1:])) if pair in need), 0)
 
 
@@ -304,7 +397,8 @@ def _scanned_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterato
         raw, offsets = ta.text_bytes(batch.column("_text"))
         rest = batch.drop_columns(["_text"])
         for a, b in ta.pieces(offsets):
-            data = plain(raw[offsets[a] : offsets[b]])
+            signed = raw[offsets[a] : offsets[b]]
+            data = plain(signed)
             own = offsets[a : b + 1] - offsets[a]
             ends, text = paragraph_ends(data, own)
             parts, line = line_units(data, ends, text)
@@ -315,10 +409,13 @@ def _scanned_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterato
             found: list[dict[int, dict]] = [{} for _ in range(b - a)]
             across, said = [], {}
             for k in np.flatnonzero(likely >= LEAST_PROBABILITY):
-                words = data[parts.found.start[parts.start[k]] : parts.found.end[parts.end[k] - 1]]
+                opens, closes = parts.found.start[parts.start[k]], parts.found.end[parts.end[k] - 1]
+                words = data[opens:closes]
                 name = FAMILIES[family[k]]
-                share = best_template(words.tobytes().decode("utf-8", "replace"), name)[1]
-                if share < LEAST_SIMILARITY:
+                said_here = words.tobytes().decode("utf-8", "replace")
+                to_line_end = signed[opens : ends[line[parts.end[k] - 1] + 1]]
+                share = confirmed(said_here, name, to_line_end.tobytes())
+                if not share:
                     continue
                 p = parts.paragraph[k]
                 last = line[parts.end[k] - 1]
@@ -333,7 +430,7 @@ def _scanned_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterato
             for t, name, p, last, _, share, words in across:
                 for (at, other), row in list(found[t].items()):
                     if other != name and p <= at + first[t] <= last and row["similarity"] < share:
-                        if _common(said[t, at, other], other) <= _best_need(words.tobytes(), name):
+                        if _common(said[t, at, other], other) <= _best_need(_pairs(words.tobytes().decode("utf-8", "replace")), name):
                             del found[t][at, other]
             own_lines = [{(row["paragraph"], row["family"]) for row in f.values()} for f in found]
             reached: dict[tuple[int, str], tuple[int, dict]] = {}

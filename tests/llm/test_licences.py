@@ -43,6 +43,69 @@ def test_families_are_found_in_odd_rows(spark, model):
     assert lc.scan_licences(helpers.documents(spark, []), model).count() == 0
 
 
+NOTICES = {
+    "Licensed under the GNU General Public License v2.0 or later": "GPL",
+    "This file is licensed under the GNU General Public License, version 2 or any later version": "GPL",
+    "Licensed under GPLv3": "GPL",
+    "GNU GENERAL PUBLIC LICENSE Version 2": "GPL",
+    "Licensed under the GNU Lesser General Public License v2.1 or later": "LGPL",
+    "Licensed under the GNU Affero General Public License v3.0 or later": "AGPL",
+    "Creative Commons Attribution-NoDerivatives 4.0": "CC-BY-ND",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "CC-BY-ND",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA",
+    "Licensed under CC BY 4.0.": "CC-BY",
+    "SPDX-License-Identifier: MIT": "MIT",
+    "SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+    "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL",
+    "MIT License": "MIT",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "ISC",
+    "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+    "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY": "MIT",
+    "Copyright 2019 Some House. All rights reserved.": "Proprietary",
+    "I have all rights reserved seats at the opera.": None,
+    " ".join(["word"] * 29) + " all rights reserved seats at the opera": None,
+    "The license plate was issued by MIT students.": None,
+    "the general public gave the software a free distribution": None,
+}
+
+
+def test_notices_of_near_families_are_told_apart(model):
+    import pyarrow as pa
+
+    texts = list(NOTICES)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["_text"])
+    rows = [r["licences"] for b in lc._scanned_batches([batch], model) for r in b.to_pylist()]
+    found = {t: [x["family"] for x in r] for t, r in zip(texts, rows)}
+    bad = {t: found[t] for t, f in NOTICES.items() if found[t] != ([f] if f else [])}
+    assert not bad
+
+
+def test_confirmation_equals_a_comparison_of_all_templates():
+    rng = random.Random(6)
+    stock = [w for ts in lc.TEMPLATES.values() for t in ts for w in t.split()]
+    some = [t for ts in lc.TEMPLATES.values() for t in ts]
+
+    def pairs(text):
+        words = "".join(c.lower() if c.isalnum() else " " for c in text).split()
+        return {(w,) for w in words} | set(zip(words, words[1:]))
+
+    def share(have, t):
+        s = len(have & pairs(t)) / len(pairs(t))
+        return s if s == 1 or len(pairs(t)) > 7 else 0
+
+    for _ in range(300):
+        text = " ".join(rng.choice(some).split()[: rng.randrange(4, 30)] + rng.choices(stock, k=rng.randrange(6)))
+        have, family = pairs(text), rng.choice(lc.FAMILIES)
+        own = max(lc.TEMPLATES[family], key=lambda t: (share(have, t), len(have & pairs(t))))
+        beaten = any(
+            have & pairs(own) <= pairs(t)
+            and (share(have, t), len(have & pairs(t))) > (share(have, own), len(have & pairs(own)))
+            for f in lc.FAMILIES if f != family for t in lc.TEMPLATES[f]
+        )
+        want = 0 if beaten or share(have, own) < 0.6 else share(have, own)
+        assert lc.confirmed(text, family) == want, (text, family)
+
+
 def test_batches_equal_texts_one_by_one(model):
     import pyarrow as pa
 
