@@ -151,6 +151,46 @@ def posteriors(df: DataFrame, weights: np.ndarray, key: str = "doc_id", text: st
     )
 
 
+def _stepped(totals: np.ndarray, steps: list[tuple[list[float], float]], high: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rates, and the points ahead of them, of documents after ``steps``.
+
+    ``totals`` has a row per domain. A document without totals (NaN) gets rate 0.
+    """
+    rate = ahead = np.ones(totals.shape[1])
+    for pull, speed in steps:
+        move = sum(x * p for x, p in zip(totals, pull))
+        last, rate = rate, np.fmin(high, np.fmax(0.0, ahead - move))
+        ahead = rate + speed * (rate - last)
+    return rate, ahead
+
+
+def _totals(batch: pa.RecordBatch, n_domains: int) -> np.ndarray:
+    """The last ``n_domains`` columns, nulls as NaN."""
+    columns = batch.columns[batch.num_columns - n_domains :]
+    return np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in columns])
+
+
+def _reached_batches(
+    batches: Iterator[pa.RecordBatch], n_domains: int, steps: list[tuple[list[float], float]], high: float
+) -> Iterator[pa.RecordBatch]:
+    """One row for all batches: domain totals at the rates and at the points ahead."""
+    sums = np.zeros(2 * n_domains)
+    for batch in batches:
+        totals = _totals(batch, n_domains)
+        sums += np.concatenate([np.nansum(totals * x, axis=1) for x in _stepped(totals, steps, high)])
+    names = [f"{x}{i}" for x in "ra" for i in range(n_domains)]
+    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums], names)
+
+
+def _rated_batches(
+    batches: Iterator[pa.RecordBatch], n_domains: int, steps: list[tuple[list[float], float]], high: float
+) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rate, _ = _stepped(_totals(batch, n_domains), steps, high)
+        n = batch.num_columns - n_domains
+        yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(rate)], [*batch.schema.names[:n], "rate"])
+
+
 def fit_rates(
     members: DataFrame,
     targets: Sequence[float],
@@ -164,9 +204,9 @@ def fit_rates(
     expected totals ``sum(rate * n_tokens * posterior)`` and the targets, each domain
     scaled by the inverse of the documents' Gram matrix, over rates from 0 to
     ``most_rate`` (None: no upper bound), starting from rate 1, by projected gradient
-    steps with momentum. Every round is one aggregate over the stored documents; a
-    document's rate follows from the residuals of the rounds before, which are a few
-    numbers each. Stops once no domain misses its target by more than ``tolerance`` of
+    steps with momentum. Every round is one pass over the stored documents; a document's
+    rate follows from the residuals of the rounds before, which are a few numbers each,
+    and is computed for a whole batch at once. Stops once no domain misses its target by more than ``tolerance`` of
     all tokens, or after ``most_rounds``; a miss, which also comes of targets that no
     rates meet, is told by a warning with both totals.
     """
@@ -182,39 +222,26 @@ def fit_rates(
     if not total.sum():
         return members.withColumn("rate", F.lit(1.0)), total.tolist(), aim.tolist()
     inverse = np.linalg.pinv(gram + 1e-9 * np.trace(gram) / k * np.eye(k))
-    high = F.lit(float(most_rate if most_rate is not None else "inf"))
-    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
-    kind = "array<struct<pull: array<double>, speed: double>>"
-
-    def step(state: Column, s: Column) -> Column:
-        move = sum((a[i] * F.get(s["pull"], F.lit(i)) for i in range(k)), F.lit(0.0))
-        rate = F.least(high, F.greatest(F.lit(0.0), state["ahead"] - move))
-        ahead = rate + s["speed"] * (rate - state["rate"])
-        return F.struct(rate.alias("rate"), ahead.alias("ahead"))
+    high = float(most_rate if most_rate is not None else "inf")
+    parts = [x.cast("double").alias(f"_total{i}") for i, x in enumerate(a)]
 
     reached, ahead, steps = total, total, []
-    fitted = members.withColumn("_state", start)
     for n in range(most_rounds):
         if np.abs(reached - aim).max() <= tolerance * total.sum():
             break
-        steps.append(
-            F.struct(
-                F.array(*[F.lit(float(x)) for x in inverse @ (ahead - aim)]).alias("pull"),
-                F.lit(n / (n + 3)).alias("speed"),
-            )
-        )
-        path = F.array(*steps).cast(kind)
-        fitted = members.withColumn("_state", F.aggregate(path, start, step))
-        found = fitted.agg(
-            *[F.sum(F.col("_state.rate") * a[i]).alias(f"r{i}") for i in range(k)],
-            *[F.sum(F.col("_state.ahead") * a[i]).alias(f"a{i}") for i in range(k)],
-        ).first()
+        steps.append(([float(x) for x in inverse @ (ahead - aim)], n / (n + 3)))
+        work = partial(_reached_batches, n_domains=k, steps=list(steps), high=high)
+        sums = members.select(*parts).mapInArrow(work, ", ".join(f"{x}{i} double" for x in "ra" for i in range(k)))
+        found = sums.agg(*[F.sum(c).alias(c) for c in sums.columns]).first()
         reached = np.array([found[f"r{i}"] for i in range(k)])
         ahead = np.array([found[f"a{i}"] for i in range(k)])
     if np.abs(reached - aim).max() > tolerance * total.sum():
         missed = f"reached {np.round(reached).tolist()}, wanted {np.round(aim).tolist()}"
         warnings.warn(f"the domains' token totals miss their targets: {missed}", stacklevel=2)
-    rated = fitted.withColumn("rate", F.col("_state.rate")).drop("_state")
+    others = members.drop("rate")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others.schema)
+    work = partial(_rated_batches, n_domains=k, steps=steps, high=high)
+    rated = members.select(*others.columns, *parts).mapInArrow(work, f"{schema}, rate double")
     return rated, reached.tolist(), aim.tolist()
 
 

@@ -98,3 +98,15 @@ def test_odd_rows_and_copies(spark):
     assert out.count() == sum(r["n_copies"] for r in found)
     assert mx.mix(helpers.documents(spark, []), helpers.labels(spark, [])).count() == 0
     assert mx.mix(df, helpers.labels(spark, [])).count() == len(rows)
+
+
+def test_rounds_run_over_whole_batches(spark):
+    rows = [(100, [0.9, 0.1]), (50, [0.2, 0.8]), (None, [0.5, 0.5]), (70, None)]
+    rated, reached, _ = mx.fit_rates(_members(spark, rows), [0.4, 0.6], most_rounds=30)
+    assert "ArrayAggregate" not in rated._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in rated._jdf.queryExecution().optimizedPlan().toString()
+    found = rated.orderBy("doc").collect()
+    assert rated.columns == ["doc", "version", "n_tokens", "posterior", "rate"]
+    assert [r["rate"] for r in found[2:]] == [0.0, 0.0]
+    totals = sum(r["rate"] * r["n_tokens"] * np.array(r["posterior"]) for r in found[:2])
+    assert np.allclose(totals, reached)
