@@ -25,6 +25,7 @@ SEQUENCE = 1024
 END_ID = 2
 #: Pieces that are packed together, in one task.
 GROUP = 1 << 16
+_NUMBER = "_piece_number"
 
 
 class OpenSequences:
@@ -107,6 +108,7 @@ def cut_pieces(
 
 
 def _placed_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """(number, length) to the number, sequence and offset of every piece."""
     opened = OpenSequences(size)
     base = TaskContext.get().partitionId() << 40
     for batch in batches:
@@ -114,8 +116,8 @@ def _placed_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa
         sequence = np.array([s for s, _ in placed], np.int64) + base
         offset = np.array([o for _, o in placed], np.int64)
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(sequence), pa.array(offset)],
-            [*batch.schema.names, "sequence_id", "offset"],
+            [batch.column(_NUMBER), pa.array(sequence), pa.array(offset)],
+            [_NUMBER, "sequence_id", "offset"],
         )
 
 
@@ -126,15 +128,19 @@ def place_pieces(pieces: DataFrame, size: int = SEQUENCE, group: int = GROUP) ->
     half a sequence come first, longest first, and the others in the order of a hash,
     which leaves the least room unused; a group is packed as a stream that holds its open
     sequences only. Each group may leave some sequences unfilled, which is little against
-    all it fills. The pieces are written to the shared folder first, so that a retried
-    task sees the same rows.
+    all it fills. The pieces are numbered and written to the shared folder first, so that a
+    retried task sees the same rows. Groups get numbers and lengths only; a place finds its
+    piece by the number, so no task holds the ids of a whole group.
     """
-    fixed = stored(pieces.drop("sequence_id", "offset"))
+    columns = [c for c in pieces.columns if c not in ("sequence_id", "offset", _NUMBER)]
+    fixed = stored(pieces.select(*columns, F.monotonically_increasing_id().alias(_NUMBER)))
     groups = max(1, -(-fixed.count() // group))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fixed.schema)
     halves = F.greatest(F.col("length"), F.lit(size // 2))
-    return (
-        fixed.repartition(groups)
-        .sortWithinPartitions(F.desc(halves), F.xxhash64(*fixed.columns), *fixed.columns)
-        .mapInArrow(partial(_placed_batches, size=size), f"{schema}, sequence_id long, offset long")
+    placed = (
+        fixed.select(_NUMBER, "length", F.xxhash64(*columns).alias("_hash"))
+        .repartition(groups)
+        .sortWithinPartitions(F.desc(halves), "_hash", _NUMBER)
+        .select(_NUMBER, "length")
+        .mapInArrow(partial(_placed_batches, size=size), f"{_NUMBER} long, sequence_id long, offset long")
     )
+    return fixed.join(placed, _NUMBER).select(*columns, "sequence_id", "offset")

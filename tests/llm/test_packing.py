@@ -107,3 +107,15 @@ def test_few_sequences():
     for n in sorted(lengths, key=lambda n: -max(n, 512)):
         opened.place(n)
     assert opened.made <= 1.005 * sum(lengths) / 1024 + 1
+
+
+def test_groups_hold_no_ids(spark):
+    rows = [(i % 7, " ".join(["word"] * (i % 40))) for i in range(60)]
+    pieces = pk.cut_pieces(helpers.documents(spark, rows).select("doc_id", "text"), PATH, size=16)
+    placed = pk.place_pieces(pieces, size=16, group=25)
+    assert placed.columns == [*pieces.columns, "sequence_id", "offset"]
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    packed = [line for line in plan.splitlines() if "MapInArrow" in line]
+    assert len(packed) == 1 and "ids#" not in packed[0]
+    key = lambda r: (r["doc_id"], r["piece"], r["start"], r["length"], bytes(r["ids"]))
+    assert sorted(map(key, placed.collect())) == sorted(map(key, pieces.collect()))
