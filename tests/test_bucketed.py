@@ -69,3 +69,22 @@ def test_a_hot_key_is_written_by_several_tasks(spark, tmp_path):
         assert len(list(path.glob("*.parquet"))) > 8
     finally:
         spark.conf.set(name, before)
+
+
+def test_aggregates_shuffle_neither_items_nor_orders(spark, models, tmp_path, monkeypatch, without_broadcast):
+    read = []
+
+    def watched(pairs, facts, *others):
+        read.append((pairs, facts))
+        return performance(pairs, facts, *others)
+
+    performance = tables.sellers.mart_seller_performance
+    monkeypatch.setattr(tables.sellers, "mart_seller_performance", watched)
+    stored = tables.write_marts(models, str(tmp_path), buckets=8)
+    ((pairs, facts),) = read
+    for df in (tables.sellers.seller_months(pairs, facts), tables.sellers.seller_freight(pairs, facts)):
+        text = plan(df, "simple")
+        assert "Exchange" not in text[text.index("SortMergeJoin") :] and text.count("Bucketed: true") == 2
+        assert text.count("Exchange") == 1  # of sellers and months
+    for name in ("mart_seller_performance", "mart_seller_freight", "mart_logistics_performance_score"):
+        assert rows(stored[name]) == rows(models[name]), name
