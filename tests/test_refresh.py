@@ -192,3 +192,12 @@ def test_fingerprints_do_not_depend_on_partitions(spark, models):
     got = rows(refresh.month_fingerprints(models, models["dim_customer"]))
     spread = Models({n: models[n].repartition(7) for n in STAGING})
     assert rows(refresh.month_fingerprints(spread, spread["dim_customer"])) == got
+
+
+def test_fingerprints_move_hashes_only(spark):
+    models = _models(spark, _shop())
+    text = plan(refresh.month_fingerprints(models, models["dim_customer"]), "simple")
+    moved = text[: text.index("order_status")]
+    assert "_sold_1" in moved and "order_delivered_carrier_date" not in moved
+    joins = [line for line in text.splitlines() if "Project" in line and "_order_1" in line]
+    assert joins and not any("order_approved_at#" in line.split("xxhash64")[0] for line in joins)
