@@ -1,8 +1,9 @@
 """How far the sources of each language diverge in the words they use.
 
 Each language has its own CountVectorizer, with a least number of documents per term and
-no bound on the vocabulary, so document vectors are exact. Vectors are summed per source
-as sparse (term, count) rows. Sources are compared in blocks of terms and sources: a block
+no bound on the vocabulary. It gets the terms of some texts at once, each as often as its
+count has bits, so vectors are exact. They are summed per source as sparse (term, count)
+rows. Sources are compared in blocks of terms and sources: a block
 evaluates the terms that occur there, and the terms that neither source of a pair has add
 one value, times their number.
 """
@@ -31,35 +32,73 @@ TOP_TERMS = 10
 #: Terms and sources of a block; a task holds two blocks of sources at most.
 TERM_BLOCK = 4096
 SOURCE_BLOCK = 256
+#: Bytes of text whose terms are counted together.
+PIECE_BYTES = 1 << 22
 #: In every document, so that a language never has an empty vocabulary; no real term is empty.
 EVERYWHERE = ""
 
 COLUMNS = ["lang", "source", "part", "item", "value", "rank"]
 
-_VECTORS = """lang string, source string,
+_VECTORS = """lang string, source string, weight long,
     terms struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"""
 
 
-def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The column ``text`` as a list of its terms, after the one that every document has."""
+def _cells(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in order, and how often each occurs."""
+    cell = np.sort(cell)
+    first = np.flatnonzero(np.diff(cell, prepend=-1))
+    return cell[first], np.diff(first, append=len(cell))
+
+
+def _term_batches(batches: Iterator[pa.RecordBatch], least_docs: int) -> Iterator[pa.RecordBatch]:
+    """(n, source, weight, terms): what is counted by texts, and what by occurrences.
+
+    Rows of weight 0 stand for the texts of a language: a term of k of them, and the one
+    that every text has, is in k of these rows, or in ``least_docs`` if k is more. So a term
+    is in that many of all rows if and only if it is in that many texts. The other rows have
+    the terms of a source whose number has the bit ``weight``, so a term's weights add up to
+    its occurrences. Both repeat far fewer strings than the texts do.
+    """
     for batch in batches:
         data, offsets = ta.text_bytes(batch.column("text"))
-        rest = batch.drop_columns(["text"])
-        for a, b in ta.pieces(offsets):
-            part = data[offsets[a] : offsets[b]]
-            found = interning.words(part, offsets[a : b + 1] - offsets[a], LETTERS)
-            lengths = np.insert(found.length, found.first[:-1], 0)
-            ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+        langs = batch.column("n").to_numpy()
+        sources = batch.column("source").dictionary_encode().indices.to_numpy()
+        for a, b in ta.pieces(offsets, PIECE_BYTES):
+            found = interning.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], LETTERS)
+            ends = np.concatenate([[0], np.cumsum(found.length)]).astype(np.int64)
             chars = np.ascontiguousarray(found.data[found.data != 0x20])
             terms = pa.LargeStringArray.from_buffers(
-                len(lengths), pa.py_buffer(ends), pa.py_buffer(chars)
-            )
-            first = found.first + np.arange(len(found.first))
-            lists = pa.LargeListArray.from_arrays(pa.array(first), terms)
-            kept = rest.slice(a, b - a)
-            yield pa.record_batch(
-                [*kept.columns, lists.cast(pa.list_(pa.string()))], [*kept.schema.names, "terms"]
-            )
+                len(found.length), pa.py_buffer(ends), pa.py_buffer(chars)
+            ).dictionary_encode()
+            names = pa.concat_arrays([pa.array([EVERYWHERE], pa.large_string()), terms.dictionary])
+            width = len(names)
+            code = terms.indices.to_numpy().astype(np.int64) + 1
+            text = np.repeat(np.arange(b - a), np.diff(found.first))
+            part = batch.slice(a, b - a)
+
+            def listed(group: np.ndarray, cell: np.ndarray, weight: int) -> pa.RecordBatch:
+                owner, term = np.divmod(cell, width)
+                ids, first = np.unique(owner, return_index=True)
+                lists = pa.LargeListArray.from_arrays(
+                    pa.array(np.append(first, len(cell))), names.take(pa.array(term))
+                )
+                rows = part.take(pa.array(group[ids]))
+                return pa.record_batch(
+                    [rows.column("n"), rows.column("source"), pa.array(np.full(len(ids), weight)),
+                     lists.cast(pa.list_(pa.string()))],
+                    ["n", "source", "weight", "terms"],
+                )
+
+            by_text, _ = _cells(np.concatenate([text * width + code, np.arange(b - a) * width]))
+            _, sample, which = np.unique(langs[a:b], return_index=True, return_inverse=True)
+            cell, times = _cells(which[by_text // width] * width + by_text % width)
+            for k in range(min(int(times.max()), least_docs)):
+                yield listed(sample, cell[times > k], 0)
+            pairs = langs[a:b] * (int(sources.max()) + 1) + sources[a:b]
+            _, sample, which = np.unique(pairs, return_index=True, return_inverse=True)
+            cell, times = _cells(which[text] * width + code)
+            for k in range(int(times.max(initial=0)).bit_length()):
+                yield listed(sample, cell[(times >> k) & 1 == 1], 1 << k)
 
 
 def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFrame, DataFrame]:
@@ -79,15 +118,16 @@ def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFram
     # Folders are numbered, as a language may be any text.
     numbers = spark.createDataFrame(list(zip(langs, range(len(langs)))), "lang string, n long")
     texts = docs.join(F.broadcast(numbers), "lang").select("n", "source", "text")
-    tokens = texts.mapInArrow(_term_batches, "n long, source string, terms array<string>")
-    tokens.write.partitionBy("n").parquet(words)
+    tokens = texts.mapInArrow(lambda batches: _term_batches(batches, least_docs), "n long, source string, weight long, terms array<string>")
+    tokens.withColumn("counted", F.col("weight") > 0).write.partitionBy("n", "counted").parquet(words)
+    form = "source string, weight long, terms array<string>"
     for n, lang in enumerate(langs):
-        part = spark.read.parquet(f"{words}/n={n}")
+        held = spark.read.schema(f"{form}, counted boolean").parquet(f"{words}/n={n}")
         model = CountVectorizer(
             inputCol="terms", outputCol="vector", minDF=float(least_docs), vocabSize=MOST_TERMS
-        ).fit(part)
-        own = model.transform(part).select(
-            F.lit(lang).alias("lang"), "source", F.col("vector").alias("terms")
+        ).fit(held.filter("NOT counted"))
+        own = model.transform(held.filter("counted")).select(
+            F.lit(lang).alias("lang"), "source", "weight", F.col("vector").alias("terms")
         )
         own.write.mode("append").parquet(vectors)
         rows = [(lang, i, t) for i, t in enumerate(model.vocabulary) if t != EVERYWHERE]
@@ -97,11 +137,10 @@ def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFram
     pairs = spark.read.schema(_VECTORS).parquet(vectors).select(
         "lang",
         "source",
-        F.explode(F.arrays_zip(F.col("terms.indices"), F.col("terms.values"))).alias("x"),
-    )
-    counts = pairs.groupBy("lang", "source", F.col("x.indices").alias("index")).agg(
-        F.sum(F.col("x.values").cast("long")).alias("count")
+        "weight",
+        F.explode("terms.indices").alias("index"),  # a term stands once in each row
     )
+    counts = pairs.groupBy("lang", "source", "index").agg(F.sum("weight").alias("count"))
     everywhere = vocabulary.select("lang", "index")
     return vocabulary, stored(
         counts.join(everywhere, ["lang", "index"], "left_semi").select(

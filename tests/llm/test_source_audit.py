@@ -93,3 +93,33 @@ def test_empty_tables(spark):
     odd = helpers.documents(spark, helpers.odd_rows())
     rows = [(r.lang, r.source, r.text) for r in odd.collect()]
     assert _found(sa.audit_sources(odd)) == _expected(rows)
+
+
+def test_terms_are_counted_by_merged_rows(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    texts = [helpers.words(rng, 40, 30) for _ in range(60)] + ["", None, "One one ONE two"]
+    langs, sources = [rng.randrange(2) for _ in texts], [rng.choice("xyz") for _ in texts]
+    batch = pa.record_batch(
+        [pa.array(langs, pa.int64()), pa.array(sources), pa.array(texts, pa.string())], names=["n", "source", "text"]
+    )
+    occurs, within, held = Counter(), Counter(), 0
+    for part in sa._term_batches(iter([batch]), 10):
+        for n, source, weight, terms in zip(*(part.column(c).to_pylist() for c in ("n", "source", "weight", "terms"))):
+            held += len(terms)
+            assert len(set(terms)) == len(terms)
+            for t in terms:
+                if weight:
+                    occurs[n, source, t] += weight
+                else:
+                    within[n, t] += 1
+    want, docs = Counter(), Counter()
+    for n, source, text in zip(langs, sources, texts):
+        found = TERM.findall((text or "").lower())
+        want.update((n, source, t) for t in found)
+        docs.update((n, t) for t in {"", *found})
+    assert occurs == want
+    assert within == {k: min(v, 10) for k, v in docs.items()}
+    assert held < np.sum(list(want.values()))
