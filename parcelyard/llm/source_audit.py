@@ -34,6 +34,10 @@ TERM_BLOCK = 4096
 SOURCE_BLOCK = 256
 #: Bytes of text whose terms are counted together.
 PIECE_BYTES = 1 << 22
+#: Cells (language, source, term) that a task holds before it merges them, and hands them on if that leaves half.
+MOST_CELLS = 1 << 21
+#: More than the sources that a task can meet.
+MOST_SOURCES = 1 << 32
 #: In every document, so that a language never has an empty vocabulary; no real term is empty.
 EVERYWHERE = ""
 
@@ -50,6 +54,45 @@ def _cells(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return cell[first], np.diff(first, append=len(cell))
 
 
+def _merged(parts: list[np.ndarray]) -> np.ndarray:
+    """Cells as columns (owner, term, times): one for each owner and term, in order, with the sum of its times."""
+    owner, term, times = np.concatenate(parts, axis=1)
+    ids, which = np.unique(owner, return_inverse=True)
+    width = int(term.max(initial=0)) + 1
+    cell = which * width + term
+    order = np.argsort(cell)
+    cell = cell[order]
+    first = np.flatnonzero(np.diff(cell, prepend=-1))
+    summed = np.add.reduceat(times[order], first) if len(first) else times
+    return np.stack([ids[cell[first] // width], cell[first] % width, summed])
+
+
+def _known(names: pa.Array, more: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``names`` with what is new in ``more``, and the place of each of ``more`` in it."""
+    joint = pa.concat_arrays([names, more]).dictionary_encode()
+    return joint.dictionary, joint.indices.to_numpy()[len(names) :].astype(np.int64)
+
+
+def _term_rows(
+    cells: np.ndarray, names: pa.Array, sources: pa.Array, least_docs: int | None
+) -> Iterator[pa.RecordBatch]:
+    """Rows (n, source, weight, terms) of merged cells: by texts up to ``least_docs``, or by bits."""
+    owner, term, times = cells
+    most = int(times.max(initial=0))
+    for k in range(most.bit_length() if least_docs is None else min(most, least_docs)):
+        chosen = np.flatnonzero((times >> k) & 1 if least_docs is None else times > k)
+        first = np.flatnonzero(np.diff(owner[chosen], prepend=-1))
+        lists = pa.LargeListArray.from_arrays(
+            pa.array(np.append(first, len(chosen))), names.take(pa.array(term[chosen]))
+        )
+        n, source = np.divmod(owner[chosen[first]], MOST_SOURCES)
+        weight = np.full(len(first), 0 if least_docs is not None else 1 << k)
+        yield pa.record_batch(
+            [pa.array(n), sources.take(pa.array(source)), pa.array(weight), lists.cast(pa.list_(pa.string()))],
+            ["n", "source", "weight", "terms"],
+        )
+
+
 def _term_batches(batches: Iterator[pa.RecordBatch], least_docs: int) -> Iterator[pa.RecordBatch]:
     """(n, source, weight, terms): what is counted by texts, and what by occurrences.
 
@@ -57,12 +100,24 @@ def _term_batches(batches: Iterator[pa.RecordBatch], least_docs: int) -> Iterato
     that every text has, is in k of these rows, or in ``least_docs`` if k is more. So a term
     is in that many of all rows if and only if it is in that many texts. The other rows have
     the terms of a source whose number has the bit ``weight``, so a term's weights add up to
-    its occurrences. Both repeat far fewer strings than the texts do.
+    its occurrences. Both repeat far fewer strings than the texts do, as the cells of a
+    task's pieces of text are merged as long as there are not too many.
     """
+    by_text: list[np.ndarray] = []
+    by_source: list[np.ndarray] = []
+    names = pa.array([EVERYWHERE], pa.large_string())
+    places = pa.array([], pa.string())
+
+    def handed_on() -> Iterator[pa.RecordBatch]:
+        for parts, least in ((by_text, least_docs), (by_source, None)):
+            if parts:
+                yield from _term_rows(_merged(parts), names, places, least)
+            parts.clear()
+
     for batch in batches:
         data, offsets = ta.text_bytes(batch.column("text"))
-        langs = batch.column("n").to_numpy()
-        sources = batch.column("source").dictionary_encode().indices.to_numpy()
+        places, sources = _known(places, batch.column("source").cast(pa.string()))
+        langs = batch.column("n").to_numpy() * MOST_SOURCES
         for a, b in ta.pieces(offsets, PIECE_BYTES):
             found = interning.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], LETTERS)
             ends = np.concatenate([[0], np.cumsum(found.length)]).astype(np.int64)
@@ -70,35 +125,26 @@ def _term_batches(batches: Iterator[pa.RecordBatch], least_docs: int) -> Iterato
             terms = pa.LargeStringArray.from_buffers(
                 len(found.length), pa.py_buffer(ends), pa.py_buffer(chars)
             ).dictionary_encode()
-            names = pa.concat_arrays([pa.array([EVERYWHERE], pa.large_string()), terms.dictionary])
-            width = len(names)
+            names, place = _known(names, terms.dictionary)
+            width = len(terms.dictionary) + 1
+            place = np.append(0, place)
             code = terms.indices.to_numpy().astype(np.int64) + 1
             text = np.repeat(np.arange(b - a), np.diff(found.first))
-            part = batch.slice(a, b - a)
-
-            def listed(group: np.ndarray, cell: np.ndarray, weight: int) -> pa.RecordBatch:
-                owner, term = np.divmod(cell, width)
-                ids, first = np.unique(owner, return_index=True)
-                lists = pa.LargeListArray.from_arrays(
-                    pa.array(np.append(first, len(cell))), names.take(pa.array(term))
-                )
-                rows = part.take(pa.array(group[ids]))
-                return pa.record_batch(
-                    [rows.column("n"), rows.column("source"), pa.array(np.full(len(ids), weight)),
-                     lists.cast(pa.list_(pa.string()))],
-                    ["n", "source", "weight", "terms"],
-                )
-
-            by_text, _ = _cells(np.concatenate([text * width + code, np.arange(b - a) * width]))
-            _, sample, which = np.unique(langs[a:b], return_index=True, return_inverse=True)
-            cell, times = _cells(which[by_text // width] * width + by_text % width)
-            for k in range(min(int(times.max()), least_docs)):
-                yield listed(sample, cell[times > k], 0)
-            pairs = langs[a:b] * (int(sources.max()) + 1) + sources[a:b]
-            _, sample, which = np.unique(pairs, return_index=True, return_inverse=True)
-            cell, times = _cells(which[text] * width + code)
-            for k in range(int(times.max(initial=0)).bit_length()):
-                yield listed(sample, cell[(times >> k) & 1 == 1], 1 << k)
+
+            def counted(owners: np.ndarray, row: np.ndarray, term: np.ndarray) -> np.ndarray:
+                ids, which = np.unique(owners, return_inverse=True)
+                cell, times = _cells(which[row] * width + term)
+                return np.stack([ids[cell // width], place[cell % width], times])
+
+            once, _ = _cells(np.concatenate([text * width + code, np.arange(b - a) * width]))
+            by_text.append(counted(langs[a:b], *np.divmod(once, width)))
+            by_source.append(counted(langs[a:b] + sources[a:b], text, code))
+            if sum(x.shape[1] for x in by_text + by_source) > MOST_CELLS:
+                by_text[:], by_source[:] = [_merged(by_text)], [_merged(by_source)]
+                if by_text[0].shape[1] + by_source[0].shape[1] > MOST_CELLS // 2:
+                    yield from handed_on()
+                    names = names.slice(0, 1)
+    yield from handed_on()
 
 
 def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFrame, DataFrame]:

@@ -123,3 +123,34 @@ def test_terms_are_counted_by_merged_rows(spark):
     assert occurs == want
     assert within == {k: min(v, 10) for k, v in docs.items()}
     assert held < np.sum(list(want.values()))
+
+
+def test_pieces_of_a_task_are_merged(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    rows = [(k % 2, f"s{k % 3}", " ".join(f"{chr(97 + i)}{chr(97 + i)}é" for i in rng.choices(range(20), k=30))) for k in range(90)]
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows[a : a + 30]], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.string()))],
+            names=["n", "source", "text"],
+        )
+        for a in (0, 30, 60)
+    ]
+    monkeypatch.setattr(sa, "PIECE_BYTES", 300)
+    want, docs = Counter(), Counter()
+    for n, source, text in rows:
+        want.update((n, source, t) for t in text.split())
+        docs.update((n, t) for t in {"", *text.split()})
+    for most, bound in ((sa.MOST_CELLS, 10), (50, 10**6)):
+        monkeypatch.setattr(sa, "MOST_CELLS", most)
+        occurs, within = Counter(), Counter()
+        for part in sa._term_batches(iter(batches), 10):
+            for r in part.to_pylist():
+                assert len(set(r["terms"])) == len(r["terms"])
+                if r["weight"]:
+                    occurs.update({(r["n"], r["source"], t): r["weight"] for t in r["terms"]})
+                else:
+                    within.update((r["n"], t) for t in r["terms"])
+        assert occurs == want and max(within.values()) <= bound
+        assert {k for k, v in within.items() if v >= 10} == {k for k, v in docs.items() if v >= 10}
