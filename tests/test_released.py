@@ -51,3 +51,13 @@ def test_checks_of_a_build_leave_no_shuffle_files(spark, small_dir, monkeypatch)
     assert [tuple(r) for r in found] == [
         ("unique", "stg_orders.customer_id", "error", repeated), ("unique", "stg_customers.customer_id", "error", 0)
     ]
+
+
+def test_views_are_counted_one_after_the_other(spark, small_dir, monkeypatch):
+    for kind, names in {"STAGING": ("stg_orders",), "INTERMEDIATE": ("int_order_freight_metrics",), "MARTS": ()}.items():
+        monkeypatch.setattr(catalog, kind, names)
+    found = []
+    run = lambda: found.extend(catalog.QUERIES["snk1_all_views"].run(spark, small_dir).collect())
+    assert not _left(spark, run)
+    orders = staged_tables(spark, small_dir)["stg_order_items"].select("order_id").distinct().count()
+    assert [tuple(r) for r in found] == [("stg_orders", 1500, 1500), ("int_order_freight_metrics", orders, orders)]
