@@ -16,7 +16,7 @@ def _shuffle_files(spark):
     return set(w for w in found.mkString(" ").split() if "/shuffle_" in w)
 
 
-def _left(spark, run, seconds=10):
+def shuffles_left(spark, run, seconds=10):
     """Shuffle files that ``run`` leaves behind; they are deleted in the background."""
     before, _ = _shuffle_files(spark), run()
     until = time.time() + seconds
@@ -34,7 +34,7 @@ def test_jobs_in_the_block_leave_no_shuffle_files(spark, tmp_path):
             counts.repartition(3, "count").write.parquet(str(tmp_path / "t"))
             assert counts.count() == counts.count() == 7
 
-    assert not _left(spark, run)
+    assert not shuffles_left(spark, run)
     assert spark.conf.get(CLEANUP) == before
     assert spark.read.parquet(str(tmp_path / "t")).count() == 7
 
@@ -46,7 +46,7 @@ def test_checks_of_a_build_leave_no_shuffle_files(spark, small_dir, monkeypatch)
     monkeypatch.setattr(checks, "_SHUFFLED", {"unique": checks.UNIQUE})
     monkeypatch.setattr(checks, "SINGULAR", {})
     found = []
-    assert not _left(spark, lambda: found.extend(checks.run_checks(staged, CountedRows()).collect()))
+    assert not shuffles_left(spark, lambda: found.extend(checks.run_checks(staged, CountedRows()).collect()))
     repeated = staged["stg_orders"].groupBy("customer_id").count().filter("count > 1").count()
     assert [tuple(r) for r in found] == [
         ("unique", "stg_orders.customer_id", "error", repeated), ("unique", "stg_customers.customer_id", "error", 0)
@@ -58,6 +58,6 @@ def test_views_are_counted_one_after_the_other(spark, small_dir, monkeypatch):
         monkeypatch.setattr(catalog, kind, names)
     found = []
     run = lambda: found.extend(catalog.QUERIES["snk1_all_views"].run(spark, small_dir).collect())
-    assert not _left(spark, run)
+    assert not shuffles_left(spark, run)
     orders = staged_tables(spark, small_dir)["stg_order_items"].select("order_id").distinct().count()
     assert [tuple(r) for r in found] == [("stg_orders", 1500, 1500), ("int_order_freight_metrics", orders, orders)]
